@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 
 #: Characters that stand for themselves in every normaliser used here, and aren't white space.
 PLAIN = "!-~¡-įı-ſ"
-HELD = 96 << 20  # bytes of remembered parts, by estimate
+MARKS = ",."
+HELD = 160 << 20  # bytes of remembered parts, by estimate
 BLOCK = 1 << 18  # characters of text whose parts are looked up at once
 
 
@@ -43,57 +45,66 @@ class PartEncoder:
         self.odd = re.compile(rf"[^\t\n\r {PLAIN}]|<\|" if drops_space else rf"[^\n {PLAIN}]|[ \n](?![{PLAIN}])|<\|")
         self.limit = held
         self.held = 0
+        self.young: list[str] = []
         self.known: dict[str, bytes] = {}
         special = [(i, t.content) for i, t in self.library.get_added_tokens_decoder().items()]
         self.mark_id, self.mark = max(special)
+        self.marks = {m: self.whole(m) for m in MARKS}
         self.line = b"" if drops_space else self.whole("\n")
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, parts: set[str]) -> None:
-        """Parts are encoded together, with a special string between them: the library cuts there before all else."""
-        new = list(parts.difference(self.known))
+    def learn(self, keys: set[str]) -> None:
+        """Encodes the parts that aren't known.
+
+        A key is a part, but if space isn't dropped, a key that begins with a line break is a word without a space
+        before it and any other key one with a space. A comma or full stop after a letter is a word of its own by either
+        rule, so such a part is put together from its word and the mark.
+        """
+        if self.held > self.limit:  # full: what came first is the most frequent and stays, later parts come and go
+            if self.held > self.limit + self.limit // 4:
+                for k in self.young:
+                    del self.known[k]
+                self.held, self.young = self.limit + 1, []
+        before = len(self.known)
+        known = self.known
+        new = keys.difference(known)
+        marked = [k for k in new if k[-1:] in MARKS and k[-2:-1].isalpha()]
+        new.difference_update(marked)
+        new.update(k for k in (k[:-1] for k in marked) if k not in known)
+        todo = list(new)
+        for k in range(0, len(todo), 2000):
+            some = todo[k : k + 2000]
+            parts = some if self.drops_space else [x[1:] if x[:1] == "\n" else f" {x}" for x in some]
+            found = self._apart(parts)
+            known.update(zip(some, found, strict=True))
+        for k in marked:
+            known[k] = known[k[:-1]] + self.marks[k[-1]]
+        added = list(islice(reversed(known), len(known) - before))
         if self.held > self.limit:
-            self.known.clear()
-            self.held, new = 0, list(parts)
-        for k in range(0, len(new), 2000):
-            some = new[k : k + 2000]
-            ids = np.array(self.library.encode(self.mark.join(some), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark_id) * 4
-            raw = ids.tobytes()
-            found = [raw[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)], strict=True)]
-            self.known.update(zip(some, found, strict=True))
-            self.held += 2 * len(raw) + 200 * len(some)
+            self.young += added
+        self.held += sum(150 + 6 * len(k) for k in added)
+
+    def _apart(self, parts: list[str]) -> list[bytes]:
+        """Parts are encoded together, with a special string between them: the library cuts there before all else."""
+        ids = np.array(self.library.encode(self.mark.join(parts), add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(ids == self.mark_id) * 4
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)], strict=True)]
 
     def _few(self, texts: Sequence[str]) -> list[bytes]:
+        odd = self.odd.search
         if self.drops_space:
-            cut = [None if self.odd.search(t) else t.lower().split() for t in texts]
-            self.learn({p for parts in cut if parts for p in parts})
+            cut = [None if odd(t) else t.lower().split() for t in texts]
+            self.learn(set().union(*(x for x in cut if x)))
             get = self.known.__getitem__
             return [self.whole(t) if parts is None else b"".join(map(get, parts)) for t, parts in zip(texts, cut, strict=True)]
-        lines = [None if self.odd.search(t) else [f" {x}".split(" ") for x in t.split("\n")] for t in texts]
-        # " x" splits into "", "x": what follows the first item of each line has a space before it in the text, but the
-        # line's own first word has not; it is kept under a key that no word has.
-        for own in lines:
-            for parts in own or ():
-                parts[0:2] = [f"\n{parts[1]}"]
-        self.learn_spaced({p for own in lines if own for parts in own for p in parts})
+        lines = [None if odd(t) else [f"\n{x}".split(" ") for x in t.split("\n")] for t in texts]
+        self.learn(set().union(*(parts for own in lines if own for parts in own)))
         get = self.known.__getitem__
         return [self.whole(t) if own is None else self.line.join([b"".join(map(get, parts)) for parts in own]) for t, own in zip(texts, lines, strict=True)]
 
-    def learn_spaced(self, keys: set[str]) -> None:
-        """Keys that begin with a line break are words without a space before them, the others with one."""
-        new = keys.difference(self.known)
-        if self.held > self.limit:
-            self.known.clear()
-            self.held, new = 0, keys
-        known, self.known = self.known, {}
-        text = {k: k[1:] if k[:1] == "\n" else f" {k}" for k in new}
-        self.learn(set(text.values()))
-        known.update({k: self.known[t] for k, t in text.items()})
-        self.known = known
-
     def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
         """The ids of each whole text, as little-endian unsigned 32-bit integers; null is empty."""
         some: list[str] = []
@@ -106,3 +117,14 @@ class PartEncoder:
                 some, size = [], 0
         if some:
             yield from self._few(some)
+
+
+_ENCODERS: dict[tuple[str, bool], PartEncoder] = {}
+
+
+def part_encoder(path: str, drops_space: bool) -> PartEncoder:
+    """The encoder of this process: a worker that runs several tasks keeps what it has learned, within HELD bytes."""
+    key = (path, drops_space)
+    if key not in _ENCODERS:
+        _ENCODERS[key] = PartEncoder(path, drops_space)
+    return _ENCODERS[key]

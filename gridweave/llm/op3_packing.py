@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from .encoders import PartEncoder, vocabulary
+from .encoders import part_encoder, vocabulary
 
 WINDOW = 2048
 END = 1
@@ -91,7 +91,7 @@ def packed(docs: DataFrame, vocab: str | None = None, window: int = WINDOW, grou
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = PartEncoder(path, drops_space=True)
+        coder = part_encoder(path, drops_space=True)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[] for _ in range(6 + with_ids)]

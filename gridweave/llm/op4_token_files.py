@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import Scratch, table
-from .encoders import PartEncoder, vocabulary
+from .encoders import part_encoder, vocabulary
 
 END = 0
 FRAME_IDS = 1 << 17  # ids of a frame at most, so that a huge document needs little memory at a time
@@ -119,7 +119,7 @@ def write_token_files(docs: DataFrame, folder: str, scratch: Scratch, vocab: str
 
         task = TaskContext.get()
         uri, out, n, docs_ = f"{folder}/part-{task.partitionId():08d}.zst", None, 0, 0
-        coder = PartEncoder(path, drops_space=False)
+        coder = part_encoder(path, drops_space=False)
         width = 2 if coder.library.get_vocab_size() <= 1 << 16 else 4
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist()), strict=True):
