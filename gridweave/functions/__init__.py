@@ -1 +1,38 @@
+"""Column functions."""
 
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+METRES = 111_320.0  # of a degree
+
+
+def metres(lon1: Column, lat1: Column, lon2: Column, lat2: Column, lat0: float) -> Column:
+    """Planar distance on a local metric around latitude lat0."""
+    import math
+
+    return F.hypot((lon1 - lon2) * (METRES * math.cos(math.radians(lat0))), (lat1 - lat2) * METRES)
+
+
+def first_match(rules: list[tuple[Column, str]], default: Column | None = None) -> Column:
+    """Ordered rules as one CASE: the value of the first that holds."""
+    out = default if default is not None else F.lit(None).cast("string")
+    for test, value in reversed(rules):
+        out = F.when(test, F.lit(value)).otherwise(out)
+    return out
+
+
+def half_open(x: Column, edges: list[float], labels: list[str]) -> Column:
+    """The label of the bin [edge, next edge) that holds x; null outside."""
+    return first_match([((x >= a) & (x < b), name) for a, b, name in zip(edges[:-1], edges[1:], labels, strict=True)])
+
+
+def kwh_from_spend(spend: Column, blocks: list[tuple[float, float]], vat: float) -> Column:
+    """Inverts a block tariff: blocks of (size, price before tax), the last one without an end."""
+    net, paid, out = spend / vat, 0.0, F.lit(0.0)
+    for size, price in blocks:
+        cap = size * price
+        out = out + F.least(F.greatest(net - paid, F.lit(0.0)), F.lit(cap)) / price
+        paid += cap
+    return out

@@ -1,5 +1 @@
 """Composed queries over the driver's tables."""
-
-from .flagship import flagship
-
-__all__ = ["flagship"]

@@ -6,13 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .flagship import ORACLE as FLAGSHIP_SQL
-from .flagship import QUERIES as FLAGSHIP
+from . import core, flagship as first
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(FLAGSHIP)
+    return {**first.QUERIES, **core.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(FLAGSHIP_SQL)
+    return {**first.ORACLE, **core.ORACLE}

@@ -1 +1,15 @@
+"""Reading tables, and writing them clustered."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A parquet table; filters and columns reach the scan."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def write_clustered(df: DataFrame, path: str, *keys: str) -> None:
+    """zstd parquet whose files hold ranges of keys, sorted, so that later filters on them skip row groups."""
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").option("compression", "zstd").parquet(path)
