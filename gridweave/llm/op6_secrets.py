@@ -141,28 +141,32 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame, lis
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = MORE) -> DataFrame:
-    """docs' rows with base and found: sorted spans (start, rank, end) of the base rules and of all rules.
+    """id, text, row (the other columns of docs), base and found, for each row of docs.
 
-    Rules with mandatory trigrams are tried on the documents that the index offers; `hex` has none and scans all. The
-    rank is a rule's place in BASE and then in `rules`. The columns are named _base and _found, docs may not have them.
+    base and found are the sorted spans (start, rank, end) of the base rules and of all rules. Rules with mandatory
+    trigrams are tried on the documents that the index offers; `hex` has none and scans all. The rank is a rule's place
+    in BASE and then in `rules`. Docs' own columns are kept in `row`, so their names can't clash with any here.
     A null text is empty. Postings of rows that share an id are taken together: each row is verified by the patterns,
     so that a row more among the candidates changes nothing; rows without an id are joined as one id is.
     """
     every = (*BASE, *rules)
     offered, full = candidates(docs, every)
-    offered = offered.select(F.col("doc_id").alias("_id"), F.col("rules").alias("_rules"))
+    offered = offered.select(F.col("doc_id").alias("offered_id"), F.col("rules").alias("offered_rules"))
+    others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(None).alias("none")]
+    own = docs.select(F.col("doc_id").alias("id"), "text", F.struct(*others).alias("row"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    out = docs.join(offered.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    out = own.join(offered.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("offered_id")), "left")
     none = F.array().cast(SPAN)
     spans = []
     for i, rule in enumerate(every):
         worth = text.rlike(rule.pattern)
         if i not in full:
-            worth = F.coalesce(F.col("_rules").bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(False)) & worth
+            worth = F.coalesce(F.col("offered_rules").bitwiseAND(F.lit(1 << i).cast("long")) != 0, F.lit(False)) & worth
         spans.append(F.when(worth, _all_matches(text, rule, i)).otherwise(none))
     n = len(BASE)
-    out = out.withColumn("_base", F.array_sort(F.concat(*spans[:n]))).withColumn("_more", F.concat(*spans[n:]) if rules else none)
-    return out.withColumn("_found", F.when(F.size("_more") == 0, F.col("_base")).otherwise(F.array_sort(F.concat("_base", "_more")))).drop("_id", "_rules", "_more")
+    base, more = F.array_sort(F.concat(*spans[:n])), F.concat(*spans[n:]) if rules else none
+    out = out.select("id", "text", "row", base.alias("base"), more.alias("more"))
+    return out.select("id", "text", "row", "base", F.when(F.size("more") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", "more"))).alias("found"))
 
 
 def _told(spans: Column, kinds: list[str]) -> Column:
@@ -174,8 +178,8 @@ def secrets(docs: DataFrame, rules: tuple[Rule, ...] = MORE) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of each row of docs."""
     kinds = [r.kind for r in (*BASE, *rules)]
     found = scan(docs.select("doc_id", "text"), rules)
-    counts = [F.size(F.filter("_base", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
-    return found.select("doc_id", *counts, F.sha2(_told(F.col("_base"), kinds), 256).alias("base_sha256"), _told(F.col("_found"), kinds).alias("spans"))
+    counts = [F.size(F.filter("base", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(_told(F.col("base"), kinds), 256).alias("base_sha256"), _told(F.col("found"), kinds).alias("spans"))
 
 
 def op6_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,8 +195,9 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         gap = F.when(fresh, F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(MARK))).otherwise(F.lit(""))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
 
-    whole = F.aggregate("_found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    clean = found.withColumn("text", F.when(F.size("_found") > 0, whole).otherwise(F.col("text")))
+    whole = F.aggregate("found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    clean = found.select("id", "row", "found", F.when(F.size("found") > 0, whole).otherwise(F.col("text")).alias("text"))
+    told = {"doc_id": F.col("id"), "text": F.col("text")}
     if "n_chars" in docs.columns:
-        clean = clean.withColumn("n_chars", F.when(F.size("_found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return clean.select(*docs.columns)
+        told["n_chars"] = F.when(F.size("found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row")["n_chars"])
+    return clean.select(*(told.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
