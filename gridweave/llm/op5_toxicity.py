@@ -130,7 +130,7 @@ class Grammar:
         return out
 
     def features(self, text: str | None) -> np.ndarray:
-        return np.append(1 - np.exp(-self.matches(text)), 1.0)
+        return np.append(np.minimum(self.matches(text), 6.0) / 3, 1.0)
 
     def score(self, text: str | None) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.features(text) @ self.weights, -30, 30))))
@@ -182,7 +182,7 @@ def learn_lexicon(rows: list[tuple[int, str]]) -> dict[str, float]:
     return chosen
 
 
-def learn_weights(grammar: Grammar, rows: list[tuple[int, str]], rounds: int = 400, rate: float = 1.0) -> np.ndarray:
+def learn_weights(grammar: Grammar, rows: list[tuple[int, str]], rounds: int = 1200, rate: float = 0.25) -> np.ndarray:
     """Logistic regression on matched clauses by gradient descent, drawn towards PRIOR as by one document."""
     if not rows:
         return PRIOR.copy()
