@@ -119,12 +119,15 @@ class PartEncoder:
             yield from self._few(some)
 
 
-_ENCODERS: dict[tuple[str, bool], PartEncoder] = {}
+_ENCODERS: dict[tuple[str, bool], tuple[str, PartEncoder]] = {}
 
 
-def part_encoder(path: str, drops_space: bool) -> PartEncoder:
-    """The encoder of this process: a worker that runs several tasks keeps what it has learned, within HELD bytes."""
+def part_encoder(path: str, drops_space: bool, run: str) -> PartEncoder:
+    """The encoder of this process for one run of a query: tasks of that run share what is learned, within HELD bytes.
+
+    Another run begins with nothing, so that a query repeated in one session does all its work again.
+    """
     key = (path, drops_space)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = PartEncoder(path, drops_space)
-    return _ENCODERS[key]
+    if key not in _ENCODERS or _ENCODERS[key][0] != run:
+        _ENCODERS[key] = (run, PartEncoder(path, drops_space))
+    return _ENCODERS[key][1]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -86,12 +87,12 @@ def packed(docs: DataFrame, vocab: str | None = None, window: int = WINDOW, grou
     of about `group` documents. Groups are dealt by a hash of id and start, so neither a source nor one long document
     makes a large group. A repeated id is packed as often as it stands there; a null id is kept.
     """
-    path = vocab or vocabulary("word_bpe_49k.json")
+    path, run = vocab or vocabulary("word_bpe_49k.json"), uuid.uuid4().hex
     n_groups = max(1, math.ceil(docs.count() / group))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = part_encoder(path, drops_space=True)
+        coder = part_encoder(path, True, run)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[] for _ in range(6 + with_ids)]

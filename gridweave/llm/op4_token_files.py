@@ -8,6 +8,7 @@ zstandard seekable format (a skippable frame with each frame's sizes and the low
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -112,14 +113,14 @@ def write_token_files(docs: DataFrame, folder: str, scratch: Scratch, vocab: str
     under a name of its own attempt and then renames: a task that runs again, after an executor is lost, leaves one
     whole file. Repeated ids are all written.
     """
-    path = vocab or vocabulary("byte_bpe_50k.json")
+    path, run = vocab or vocabulary("byte_bpe_50k.json"), uuid.uuid4().hex
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task = TaskContext.get()
         uri, out, n, docs_ = f"{folder}/part-{task.partitionId():08d}.zst", None, 0, 0
-        coder = part_encoder(path, drops_space=False)
+        coder = part_encoder(path, False, run)
         width = 2 if coder.library.get_vocab_size() <= 1 << 16 else 4
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist()), strict=True):
