@@ -19,3 +19,35 @@ def ratio_raking(df: DataFrame, region: str, value: Column, target: DataFrame) -
     """(region, total, target, scale): what a region's values are multiplied with to meet its target."""
     have = df.groupBy(region).agg(F.sum(value).alias("total"))
     return have.join(target, region, "left").withColumn("scale", F.col("target") / F.nullif(F.col("total"), F.lit(0.0)))
+
+
+def logit_shift(df: DataFrame, region: str, prob: str, target: DataFrame, reach: float = 15.0, passes: int = 10, parts: int = 16) -> DataFrame:
+    """(region, shift): what is added to the logit of each probability so that a region's mean meets its target.
+
+    target: one row per region, (region, target). Equal probabilities of a region are counted once, before the shuffle;
+    each pass sums the shifted shares at parts - 1 points between the bounds and keeps the one interval that holds the
+    target. No group is collected, so a region may hold any number of rows. Probabilities of 0 and 1 stay as they are,
+    null ones and regions without a target are ignored.
+    """
+    own = df.where(F.col(prob).isNotNull()).groupBy(region, prob).agg(F.count(F.lit(1)).alias("_n"))
+    bounds = target.select(region, "target", F.lit(-reach).alias("_lo"), F.lit(reach).alias("_hi"))
+    for _ in range(passes):
+        step = (F.col("_hi") - F.col("_lo")) / parts
+        odds = F.col(prob) / (1 - F.col(prob))
+        below = [(F.sum(F.col("_n") * _shifted(odds, F.col("_lo") + step * k)) < F.first("target") * F.sum("_n")).cast("int") for k in range(1, parts)]
+        found = own.join(bounds, region).groupBy(region).agg(F.first("target").alias("target"), F.first("_lo").alias("_from"), F.first(step).alias("_step"), sum(below[1:], below[0]).alias("_k"))
+        lo = F.col("_from") + F.col("_step") * F.col("_k")
+        bounds = found.select(region, "target", lo.alias("_lo"), (lo + F.col("_step")).alias("_hi"))
+    return bounds.select(region, ((F.col("_lo") + F.col("_hi")) / 2).alias("shift"))
+
+
+def _shifted(odds: Column, by: Column) -> Column:
+    return F.when(odds.isNull(), 1.0).when(odds == 0, 0.0).otherwise(1 / (1 + F.exp(-by) / odds))
+
+
+def best_threshold(df: DataFrame, value: str, truth: Column, grid: list[float]) -> DataFrame:
+    """(threshold, score): the threshold of the grid with the best balanced accuracy, the least one on ties; one pass."""
+    yes, no = F.count_if(truth), F.count_if(~truth)
+    tried = [F.struct((-(F.count_if(truth & (F.col(value) >= t)) / yes + F.count_if(~truth & (F.col(value) < t)) / no) / 2).alias("loss"), F.lit(float(t)).alias("t")) for t in grid]
+    best = F.array_min(F.array(*tried))
+    return df.agg(best.alias("b")).select(F.col("b.t").alias("threshold"), F.round(-F.col("b.loss"), 6).alias("score"))

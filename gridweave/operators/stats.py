@@ -32,3 +32,22 @@ def calibration_error(df: DataFrame, confidence: str, hit: str, bins: int = 10)
     """Bins of confidence with their share of hits, mean confidence and weighted gap."""
     own = df.withColumn("bin", F.least(F.floor(F.col(confidence) * bins), F.lit(bins - 1)).cast("int"))
     return own.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg(F.col(hit).cast("double")), 6).alias("accuracy"), F.round(F.avg(confidence), 6).alias("confidence"))
+
+
+def weighted_auc(df: DataFrame, group: str, score: str, hit: str, weight: str) -> DataFrame:
+    """(group, auc, brier): the weighted area under the curve, with equal scores at their middle rank, and the squared gap.
+
+    Rows are summed by score before they are ranked, so the ranking holds distinct scores only.
+    """
+    y, s, wt = F.col(hit).cast("double"), F.col(score), F.col(weight)
+    own = df.groupBy(group, score).agg(F.sum(wt * y).alias("_p"), F.sum(wt * (1 - y)).alias("_q"), F.sum(wt * (s - y) * (s - y)).alias("_e"))
+    under = F.coalesce(F.sum("_q").over(W.partitionBy(group).orderBy(score).rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0))
+    area = F.sum(F.col("_p") * (F.col("_u") + F.col("_q") / 2)) / F.nullif(F.sum("_p") * F.sum("_q"), F.lit(0.0))
+    return own.withColumn("_u", under).groupBy(group).agg(area.alias("auc"), (F.sum("_e") / F.sum(F.col("_p") + F.col("_q"))).alias("brier"))
+
+
+def entropy(df: DataFrame, group: str, label: str) -> DataFrame:
+    """(group, n, k, entropy): rows, distinct labels, and the entropy of labels over its greatest value; 0 for one label."""
+    own = df.groupBy(group, label).agg(F.count(F.lit(1)).alias("_n"))
+    sums = own.groupBy(group).agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"), F.sum(F.col("_n") * F.ln("_n")).alias("_s"))
+    return sums.select(group, "n", "k", F.when(F.col("k") > 1, (F.ln("n") - F.col("_s") / F.col("n")) / F.ln("k")).otherwise(0.0).alias("entropy"))

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core, flagship as first
+from . import core, flagship as first, wider
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**first.QUERIES, **core.QUERIES}
+    return {**first.QUERIES, **core.QUERIES, **wider.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**first.ORACLE, **core.ORACLE}
+    return {**first.ORACLE, **core.ORACLE, **wider.ORACLE}
