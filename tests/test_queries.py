@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
@@ -10,7 +11,7 @@ import pytest
 
 from gridweave.plans import registry
 
-DATA = "/root/testdata/sf0.001"
+DATA = os.environ.get("GRIDWEAVE_DATA", "/root/testdata/sf0.001")
 
 
 def plain(x):
