@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator, Sequence
 from itertools import islice
@@ -40,6 +41,7 @@ class PartEncoder:
     def __init__(self, path: str, drops_space: bool, held: int = HELD):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.library = Tokenizer.from_file(path)
         self.drops_space = drops_space
         self.odd = re.compile(rf"[^\t\n\r {PLAIN}]|<\|" if drops_space else rf"[^\n {PLAIN}]|[ \n](?![{PLAIN}])|<\|")
@@ -53,7 +55,11 @@ class PartEncoder:
         self.line = b"" if drops_space else self.whole("\n")
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._ids(text).tobytes()
+
+    def _ids(self, text: str) -> np.ndarray:
+        """The library's ids; its fast call leaves out the places of tokens, which aren't needed."""
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def learn(self, keys: set[str]) -> None:
         """Encodes the parts that aren't known.
@@ -88,7 +94,7 @@ class PartEncoder:
 
     def _apart(self, parts: list[str]) -> list[bytes]:
         """Parts are encoded together, with a special string between them: the library cuts there before all else."""
-        ids = np.array(self.library.encode(self.mark.join(parts), add_special_tokens=False).ids, "<u4")
+        ids = self._ids(self.mark.join(parts))
         cuts = np.flatnonzero(ids == self.mark_id) * 4
         raw = ids.tobytes()
         return [raw[a:b] for a, b in zip([0, *(cuts + 4).tolist()], [*cuts.tolist(), len(raw)], strict=True)]
