@@ -36,3 +36,25 @@ def kwh_from_spend(spend: Column, blocks: list[tuple[float, float]], vat: float)
         out = out + F.least(F.greatest(net - paid, F.lit(0.0)), F.lit(cap)) / price
         paid += cap
     return out
+
+
+def mercator_tile(lon: Column, lat: Column, zoom: int) -> tuple[Column, Column]:
+    """Column and row of the Web Mercator tile that holds a point."""
+    import math
+
+    n, phi = float(2**zoom), F.radians(lat)
+    x = F.floor((lon + 180.0) / 360.0 * n)
+    return x, F.floor((1.0 - F.ln(F.tan(phi) + 1.0 / F.cos(phi)) / math.pi) / 2.0 * n)
+
+
+def quadkey(x: Column, y: Column, zoom: int) -> Column:
+    """One digit a level: 1 for the right half and 2 for the lower half."""
+    digits = [(F.shiftright(x, k).bitwiseAND(F.lit(1)) + 2 * F.shiftright(y, k).bitwiseAND(F.lit(1))).cast("string") for k in reversed(range(zoom))]
+    return F.concat(*digits)
+
+
+def keep_likely(probs: Column, least: float, top: Column) -> Column:
+    """A map of the classes with at least that probability, scaled to sum to one; the top class alone if none has it."""
+    kept = F.map_filter(probs, lambda _, p: p >= least)
+    total = F.aggregate(F.map_values(kept), F.lit(0.0), lambda s, p: s + p)
+    return F.when(F.size(kept) > 0, F.transform_values(kept, lambda _, p: p / total)).otherwise(F.create_map(top, F.lit(1.0)))

@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core, flagship as first, sampling, wider
+from . import core, deeper, flagship as first, sampling, wider
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**first.QUERIES, **core.QUERIES, **wider.QUERIES, **sampling.QUERIES}
+    return {**first.QUERIES, **core.QUERIES, **wider.QUERIES, **sampling.QUERIES, **deeper.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**first.ORACLE, **core.ORACLE, **wider.ORACLE, **sampling.ORACLE}
+    return {**first.ORACLE, **core.ORACLE, **wider.ORACLE, **sampling.ORACLE, **deeper.ORACLE}
