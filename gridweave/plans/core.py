@@ -68,7 +68,7 @@ def capacity_fill(spark, sf_dir):
 
 
 def prefix_share_setting(spark, sf_dir):
-    out = picks.prefix_share(buildings(spark, sf_dir), "district", F.desc("score"), "area", F.lit(0.35), "bldg_id")
+    out = picks.prefix_share(buildings(spark, sf_dir), "district", "score", "area", F.lit(0.35), "bldg_id")
     return out.groupBy("district").agg(F.count_if("flag").alias("n_urban"), F.sum(F.when(F.col("flag"), F.col("area")).otherwise(0)).alias("urban_area"))
 
 

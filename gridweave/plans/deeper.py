@@ -127,7 +127,7 @@ def prefix_share_wealth(spark, sf_dir):
     b = buildings(spark, sf_dir).withColumn("rwi", F.when(F.col("area") % 17 != 0, F.col("score")))
     mid = b.groupBy("district").agg(F.median("rwi").alias("mid"))
     b = b.join(mid, "district").withColumn("rwi", F.coalesce("rwi", "mid"))
-    return picks.prefix_share(b, "district", F.desc("rwi"), "floors", F.lit(0.5), "bldg_id").select("bldg_id", F.col("flag").alias("upper"))
+    return picks.prefix_share(b, "district", "rwi", "floors", F.lit(0.5), "bldg_id").select("bldg_id", F.col("flag").alias("upper"))
 
 
 def local_days(spark, sf_dir):
