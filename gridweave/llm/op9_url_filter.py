@@ -59,7 +59,7 @@ def judged(pages: DataFrame, rules: tuple[UrlRule, ...]) -> DataFrame:
 
 def _segments(path: Column) -> Column:
     """The first DEPTH segments with digits generalised, and a last one for the rest; padded with ''."""
-    cut = F.split(F.regexp_replace(F.ltrim(F.lit("/"), path), "[0-9]+", "0"), "/")
+    cut = F.split(F.regexp_replace(F.ltrim(path, F.lit("/")), "[0-9]+", "0"), "/")
     rest = F.when(F.size(cut) > DEPTH, F.lit("**")).otherwise(F.lit(""))
     return F.concat(F.transform(F.sequence(F.lit(1), F.lit(DEPTH)), lambda i: F.coalesce(F.try_element_at(cut, i), F.lit(""))), F.array(rest))
 

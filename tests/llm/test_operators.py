@@ -238,6 +238,24 @@ def test_urls(spark):
     assert (found[6]["host"], found[6]["path"]) == ("", "") and len(found) == len(urls)
 
 
+def pages_of(spark, urls):
+    return spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+
+
+def test_url_templates(spark):
+    """The path decides: on a host without labels, only what is blocked elsewhere is blocked."""
+    net = [f"http://a{h}.net/{p}/{i}" for h in range(3) for i in range(20) for p in ("x", "y")]
+    en = [f"http://b.example.net/en/{i}" for i in range(60)]
+    wide = [f"http://w.com/{chr(97 + i) * 3}/{i}" for i in range(op9.VALUES + 1)]
+    urls = [*net, *en, *wide, "http://c.com/x/7", "http://c.com//y/8", "http://c.com/en/9", "http://c.com/z/1"]
+    found = {urls[r["page_id"]]: r for r in op9.filtered(pages_of(spark, urls)).collect()}
+    start = {u: r["template"].split("/")[1] for u, r in found.items()}
+    assert all(start[u] == "*" for u in wide) and all(start[u] == u.split("/")[3] for u in net)
+    ends = [found[u] for u in urls[-4:]]
+    assert [r["verdict"] for r in ends] == ["block", "block", "allow", "allow"]
+    assert ends[2]["purity"] < 0.1 and ends[3]["purity"] == 0.5
+
+
 def test_token_counts(spark, docs):
     whole = op10.Counter(vocabulary("piece_bpe_32k.model"))
     found = op10.token_counts(docs, chunk=64, overlap=8, limit=100).collect()
