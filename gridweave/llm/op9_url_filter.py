@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from .common import Scratch, table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-DEPTH = 3  # segments of a template; the rest of a longer path is one wildcard
 VALUES = 12  # a node with more different children than this, and with few pages for each, is generalised
 PAGES_PER_VALUE = 8
 ALIKE = 1.96  # standard errors within which a branch is merged with the branches of its template
@@ -58,28 +57,34 @@ def judged(pages: DataFrame, rules: tuple[UrlRule, ...]) -> DataFrame:
 
 
 def _segments(path: Column) -> Column:
-    """The first DEPTH segments with digits generalised, and a last one for the rest; padded with ''."""
-    cut = F.split(F.regexp_replace(F.ltrim(path, F.lit("/")), "[0-9]+", "0"), "/")
-    rest = F.when(F.size(cut) > DEPTH, F.lit("**")).otherwise(F.lit(""))
-    return F.concat(F.transform(F.sequence(F.lit(1), F.lit(DEPTH)), lambda i: F.coalesce(F.try_element_at(cut, i), F.lit(""))), F.array(rest))
+    """All segments with digits generalised, without slashes at either end; [''] for an empty path."""
+    return F.split(F.regexp_replace(F.trim(path, F.lit("/")), "[0-9]+", "0"), "/")
 
 
-def templates(paths: DataFrame) -> DataFrame:
-    """(host, segs, template): each distinct row of segments and the template that the tree of its host gives it.
+def templates(paths: DataFrame, scratch: Scratch) -> DataFrame:
+    """(host, segs, nodes): each distinct row of segments and the nodes that the tree of its host gives it.
 
-    paths: (host, segs, n, blocked, labelled), a row for each distinct (host, segs). From the root downwards, at each
-    depth, a node with over VALUES different children and under PAGES_PER_VALUE pages for each has one wildcard child.
-    Counts are combined before the shuffle; a busy host is one short row per node.
+    paths: (host, segs, n, blocked, labelled), a row for each distinct (host, segs). From the root downwards, a node with
+    over VALUES different children and under PAGES_PER_VALUE pages for each has one wildcard child; a page that ends at
+    the node is no child. It goes on to the ends of the paths; below a node with VALUES paths or fewer no wildcard can
+    follow, so these keep the rest of their segments and leave the rounds. Counts are combined before the shuffle; a busy
+    host is one short row per node.
     """
-    out = paths.select("host", "segs", "n", F.lit("").alias("template"))
-    for d in range(DEPTH):
+    live, done, d = paths.select("host", "segs", "n", F.array().cast("array<string>").alias("nodes")), [], 0
+    while True:
         seg = F.col("segs")[d]
-        kids = out.groupBy("host", "template", seg.alias("seg")).agg(F.sum("n").alias("n"))
-        nodes = kids.groupBy("host", "template").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("pages"))
-        wild = nodes.where((F.col("values") > VALUES) & (F.col("pages") < PAGES_PER_VALUE * F.col("values"))).select(F.col("host").alias("h"), F.col("template").alias("t"))
-        out = out.join(wild, (F.col("host") == F.col("h")) & (F.col("template") == F.col("t")), "left")
-        out = out.select("host", "segs", "n", F.concat("template", F.lit("/"), F.when(F.col("h").isNotNull(), F.lit("*")).otherwise(seg)).alias("template"))
-    return out.select("host", "segs", F.concat("template", F.lit("/"), F.col("segs")[DEPTH]).alias("template"))
+        kids = live.groupBy("host", "nodes", seg.alias("seg")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("paths"))
+        nodes = kids.groupBy("host", "nodes").agg(F.count(F.lit(1)).alias("values"), F.sum("n").alias("pages"), F.sum("paths").alias("paths"))
+        wild = (F.col("values") > VALUES) & (F.col("pages") < PAGES_PER_VALUE * F.col("values"))
+        nodes = nodes.select("host", "nodes", wild.alias("wild"), (F.col("paths") <= VALUES).alias("plain"))
+        rest = F.slice("segs", F.lit(d + 1), F.size("segs"))
+        below = F.when(F.col("plain"), rest).otherwise(F.array(F.when(F.col("wild"), F.lit("*")).otherwise(seg)))
+        more = ~F.col("plain") & (F.size("segs") > d + 1)
+        step = scratch.keep(live.join(nodes, ["host", "nodes"]).select("host", "segs", "n", F.concat("nodes", below).alias("nodes"), more.alias("more")), "level")
+        done.append(step.where("NOT more").select("host", "segs", "nodes"))
+        live, d = step.where("more").drop("more"), d + 1
+        if live.isEmpty():
+            return reduce(DataFrame.unionAll, done)
 
 
 def filtered(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
@@ -96,7 +101,7 @@ def filtered(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
     rows = judged(pages, rules).withColumn("given", given).withColumn("segs", _segments(F.col("path")))
     blocked = F.sum(F.when(F.col("given") == "block", 1).otherwise(0)).alias("blocked")
     paths = scratch.keep(rows.groupBy("host", "segs").agg(F.count(F.lit(1)).alias("n"), blocked, F.count("given").alias("labelled")), "paths")
-    named = scratch.keep(templates(paths), "templates")
+    named = scratch.keep(templates(paths, scratch).select("host", "segs", F.concat(F.lit("/"), F.array_join("nodes", "/")).alias("template")), "templates")
     branch = paths.join(named, ["host", "segs"]).groupBy("host", "template").agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled"))
     pooled = branch.groupBy("template").agg(F.sum("blocked").alias("b"), F.sum("labelled").alias("l")).withColumn("prior", (F.col("b") + 0.5 * WEIGHT) / (F.col("l") + WEIGHT))
     both = branch.join(pooled, "template")

@@ -256,6 +256,34 @@ def test_url_templates(spark):
     assert ends[2]["purity"] < 0.1 and ends[3]["purity"] == 0.5
 
 
+def brute_templates(rows, d=0, at=()):
+    """{path: nodes} of one host's tree; rows: {path: pages}, paths as tuples of segments."""
+    out, kids = {p: at for p in rows if len(p) == d}, {}
+    for p in rows:
+        if len(p) > d:
+            kids.setdefault(p[d], {})[p] = rows[p]
+    pages = sum(sum(k.values()) for k in kids.values())
+    if len(kids) > op9.VALUES and pages < op9.PAGES_PER_VALUE * len(kids):
+        kids = {"*": {p: n for k in kids.values() for p, n in k.items()}}
+    for name, k in kids.items():
+        out |= brute_templates(k, d + 1, (*at, name))
+    return out
+
+
+def test_deep_urls(spark):
+    """Every level counts: the fourth segment divides what is blocked, and wildcards are found at any depth."""
+    urls = [f"http://a{i % 3}.net/fr/x/y/ads/{i}" for i in range(60)] + [f"http://b{i % 3}.org/fr/x/y/news/{i}" for i in range(60)]
+    got = {r["page_id"]: r for r in op9.filtered(pages_of(spark, [*urls, "http://c.com/fr/x/y/ads/2", "http://c.com/fr/x/y/news/2"])).collect()}
+    assert (got[120]["verdict"], got[121]["verdict"]) == ("block", "allow")
+
+    rng = random.Random(5)
+    paths = [tuple(rng.choice("ab" if k != 3 else "abcdefghijklmnopqrst") for k in range(rng.randint(1, 7))) for _ in range(500)] + [tuple("abcabcabcabc")]
+    got = {r["path"]: r["template"] for r in op9.filtered(pages_of(spark, ["http://c.com/" + "/".join(p) + rng.choice(["", "/"]) for p in paths])).collect()}
+    want = brute_templates({p: paths.count(p) for p in paths})
+    assert {tuple(p.strip("/").split("/")): t for p, t in got.items()} == {p: "/" + "/".join(t) for p, t in want.items()}
+    assert any("*" in t for t in want.values())
+
+
 def test_token_counts(spark, docs):
     whole = op10.Counter(vocabulary("piece_bpe_32k.model"))
     found = op10.token_counts(docs, chunk=64, overlap=8, limit=100).collect()
