@@ -284,6 +284,71 @@ def test_deep_urls(spark):
     assert any("*" in t for t in want.values())
 
 
+def brute_groups(items):
+    """Groups of the leaves of one host, by recursion; items: [(rest of the nodes, leaf)], leaf: (b, l, ob, ol, name)."""
+    done = []
+
+    def differ(b, n, b2, n2):
+        p = (b + b2) / (n + n2) if n + n2 else 0
+        return n > 0 and n2 > 0 and (b / n - b2 / n2) ** 2 > op9.ALIKE**2 * p * (1 - p) * (1 / n + 1 / n2)
+
+    def evidence(leaves):
+        b, n, ob, on = (sum(x[i] for x in leaves) for i in range(4))
+        return (b, n) if n else (ob, on)
+
+    def go(items):
+        if items[0][0] == ():
+            return [items[0][1]]
+        below = {}
+        for rest, leaf in items:
+            below.setdefault(rest[0], []).append((rest[1:], leaf))
+        subs = [go(v) for v in below.values()]
+        kids = sorted(((-b / n, -n, b, n), x) for x in subs if x for b, n in [evidence(x)])
+        total = [sum(k[0][i] for k in kids) for i in (2, 3)]
+        groups, run = [[]], (0, 0)
+        odd = any(differ(b, n, total[0] - b, total[1] - n) for (_, _, b, n), _ in kids)
+        for (_, _, b, n), x in kids:
+            if odd and differ(b, n, *run):
+                groups, run = [*groups, []], (0, 0)
+            groups[-1] += x
+            run = (run[0] + b, run[1] + n)
+        if len(groups) == 1 and all(subs):
+            return groups[0]
+        done.extend(g for g in groups if g)
+        return None
+
+    last = go([((*rest, "/"), leaf) for rest, leaf in items])
+    return done + ([last] if last else [])
+
+
+def test_url_branches(spark):
+    """Small siblings are judged with those they don't differ from, and not with those they do, at every level."""
+    net = [f"http://a.net/es/{i}" for i in range(60)] + [f"http://a.net/es/{i}.html" for i in range(11)] + [f"http://a.example.net/en/{i}" for i in range(40)]
+    tops = [f"http://b.net/{p}/{i}" for p in ("p", "q", "r") for i in range(9)]
+    urls = [*net, *tops, "http://c.com/es/1", "http://c.com/es/1.html", "http://c.com/en/1", "http://c.com/q/1", "http://c.com/z"]
+    got = {urls[r["page_id"]]: r for r in op9.filtered(pages_of(spark, urls)).collect()}
+    assert [got[u]["verdict"] for u in urls[-5:]] == ["block", "block", "allow", "block", "allow"]
+    assert got["http://c.com/es/1"]["purity"] == got["http://c.com/es/1.html"]["purity"] == got["http://c.com/q/1"]["purity"]
+
+    rng, leaves = random.Random(3), []
+    for h in range(12):
+        for at in {tuple(rng.choice("abcd") for _ in range(rng.randint(1, 4))) for _ in range(rng.randint(1, 30))}:
+            p, n = rng.choice([0, 0.5, 0.9, 1]) if h % 3 else 0.5, rng.choice([0, 1, 2, 10, 60])
+            b = sum(rng.random() < p for _ in range(n))
+            ol = rng.choice([0, 1, 8, 90]) if n else rng.choice([1, 8, 90])
+            leaves.append((f"h{h}", list(at), b, n, rng.randint(0, ol), ol))
+    df = spark.createDataFrame(leaves, "host string, nodes array<string>, b long, l long, ob long, ol long")
+    found = {}
+    for r in op9.merged(df, Scratch(spark, "branches")).collect():
+        found.setdefault((r["host"], tuple(r["grp"])), set()).add(tuple(r["nodes"]))
+    want = set()
+    for h in {x[0] for x in leaves}:
+        items = [(tuple(x[1]), (*x[2:], tuple(x[1]))) for x in leaves if x[0] == h]
+        want |= {(h, frozenset(leaf[4] for leaf in g)) for g in brute_groups(items)}
+    assert {(h, frozenset(v)) for (h, _), v in found.items()} == want
+    assert 12 < len(want) < len(leaves)
+
+
 def test_token_counts(spark, docs):
     whole = op10.Counter(vocabulary("piece_bpe_32k.model"))
     found = op10.token_counts(docs, chunk=64, overlap=8, limit=100).collect()
