@@ -35,14 +35,15 @@ def plain_text(text: Column) -> Column:
     out = F.translate(text, "‐‑‒–—−‘’‚“”„ ­", "------'''\"\"\" ")  # the last one, a soft hyphen, is dropped
     for mark, plain in (("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl")):
         out = F.replace(out, F.lit(mark), F.lit(plain))
-    out = F.regexp_replace(out, r"([A-Za-z])-\n\s*([a-z])", "$1$2")
+    out = F.regexp_replace(out, r"(?U)(\w)-\s*\n\s*(\w)", "$1$2")
     return F.trim(F.regexp_replace(out, r"\s+", " "))
 
 
 def quote_holds(quote: Column, page: Column, following: Column) -> Column:
     """Whether the quote stands on the page, or runs from it onto the following one; on the following alone doesn't count."""
-    q, p, f = plain_text(quote), plain_text(page), F.coalesce(plain_text(following), F.lit(""))
-    return (q != "") & (F.contains(p, q) | (F.contains(F.concat(p, F.lit(" "), f), q) & ~F.contains(f, q)))
+    nxt = F.coalesce(following, F.lit(""))
+    q, p, f, both = plain_text(quote), plain_text(page), plain_text(nxt), plain_text(F.concat(page, F.lit("\n"), nxt))
+    return (q != "") & (F.contains(p, q) | (F.contains(both, q) & ~F.contains(f, q)))
 
 
 def keyword_hits(text: Column, words: list[str]) -> Column:

@@ -55,6 +55,12 @@ def test_quotes(spark):
     assert [r.got for r in df.select(curation.quote_holds(F.col("q"), F.col("p"), F.col("n")).alias("got")).collect()] == [r[3] for r in rows]
 
 
+def test_words_cut_at_line_and_page_ends(spark):
+    rows = [("a", "cafétable", "une café-\ntable", None, True), ("b", "A4B7", "an A4-  \n \n  B7", None, True), ("c", "the electricity bill", "pays the electri-", "city bill now", True), ("d", "the electri city", "the electri-", "city", False), ("e", "well-known", "a well-known x", None, True), ("f", "bill now", "pays the electri-", "city bill now", False)]
+    df = spark.createDataFrame(rows, "k string, q string, p string, n string, want boolean")
+    assert {r.k: r.got for r in df.select("k", curation.quote_holds(F.col("q"), F.col("p"), F.col("n")).alias("got")).collect()} == {r[0]: r[4] for r in rows}
+
+
 def test_groups_follow_chains_and_cycles(spark):
     nodes = spark.range(0, 40).withColumnRenamed("id", "k")
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(30, 1), (35, 38), (38, 35), (39, 39)], "u long, v long")
