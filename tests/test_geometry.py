@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridweave.functions import keep_likely, mercator_tile, quadkey
 from gridweave.operators import curation, geometry, neighbours
+from gridweave.plans import sampling
 
 RING = "array<struct<x:double,y:double>>"
 SQUARE = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0), (0.0, 0.0)]
@@ -85,3 +86,8 @@ def test_disk_means_beyond_all_cells_are_null(spark):
     cells = spark.createDataFrame([(0, 0, 6, 2), (0, 2, 9, 1)], "row int, col int, s int, n int")
     wanted = spark.createDataFrame([(0, 1, 1), (9, 9, 1)], "row int, col int, k int")
     assert sorted(map(tuple, neighbours.disk_means(cells, wanted, "k").collect())) == [(0, 1, 5.0, 3), (9, 9, None, None)]
+
+
+def test_bilinear_grid_is_all_of_part(spark):
+    plan = sampling.bilinear_lapse(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "p_partkey" in plan and "< 36" not in plan
