@@ -40,12 +40,12 @@ def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> int:
     return sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist())
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) for every row; fp holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
+    """(id, fp) for every row, over runs of `size` words; fp holds the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64).view(np.int64)
+            fp = np.array([fingerprint(t.as_py(), size) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.record_batch([batch.column(0), pa.array(fp)], names=["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -57,31 +57,32 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
 
     Each fingerprint is sent to all values within half the radius. Two fingerprints within the radius meet at such a
     value, and all that meet there are within the radius of each other; so a star from the least one of a bucket joins
-    them without pairs. A bucket holds at most 65 fingerprints at radius 2, as the input is distinct. Each edge is
-    verified.
+    them without pairs. A fingerprint is sent to 65 values at radius 2, 2081 at 4 and 43745 at 6, and a bucket holds as
+    many at most, as the input is distinct. Each edge is verified.
     """
-    if radius not in (0, 2):
-        raise ValueError("the radius is 0 or 2: at odd radii, or wider ones, values that meet need not be within it")
-    ball = distinct.select("fp", F.col("fp").alias("at"))
-    if radius:
-        ball = distinct.select("fp", F.explode(F.sequence(F.lit(0), F.lit(BITS))).alias("bit"))
-        ball = ball.select("fp", F.when(F.col("bit") == BITS, F.col("fp")).otherwise(F.expr("fp ^ shiftleft(1L, bit)")).alias("at"))
+    if radius < 0 or radius % 2:
+        raise ValueError("the radius is even: at odd radii, values that meet need not be within it")
+    ball = distinct.select("fp", F.col("fp").alias("at"), F.lit(0).alias("low"))
+    for _ in range(radius // 2):  # one bit more, above those changed so far, or none
+        ball = ball.select("fp", "at", F.explode(F.sequence(F.col("low"), F.lit(BITS))).alias("bit"))
+        at = F.when(F.col("bit") == BITS, F.col("at")).otherwise(F.expr("at ^ shiftleft(1L, bit)"))
+        ball = ball.select("fp", at.alias("at"), F.least(F.col("bit") + 1, F.lit(BITS)).alias("low"))
     far = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= radius
     near = ball.select(F.col("fp").alias("u"), F.min("fp").over(W.partitionBy("at")).alias("v"))
     return near.where("v < u").where(far).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, size: int = 3) -> DataFrame:
     """(id_col, fingerprint, component_id), a row for each row of docs.
 
     fingerprint: 16 lowercase hex digits. component_id: the least id among all rows reachable over fingerprints that
-    differ in `radius` bits or fewer. Rows with one fingerprint (exact copies, or all rows without words) are one node,
+    differ in `radius` bits or fewer, with shingles of `size` words. Rows with one fingerprint (exact copies, or all rows without words) are one node,
     whatever their number; so a group of copies costs one row after a combined count. Null texts have no words. Null
     ids keep their row; a component of null ids only has a null component_id. Repeated rows are kept.
     """
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "simhash")
-    fps = scratch.keep(fingerprints(docs, id_col, text_col), "fp")
+    fps = scratch.keep(fingerprints(docs, id_col, text_col, size), "fp")
     nodes = scratch.keep(fps.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
     groups = connected_components(links(nodes.select("fp"), radius), scratch)
     placed = nodes.join(groups, nodes["fp"] == groups["node"], "left").select(nodes["fp"], "least", F.coalesce("component", nodes["fp"]).alias("root"))
@@ -95,14 +96,14 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str, radius: int = 2, size: int = 3) -> DataFrame:
     """The rows of docs whose id names their component: one document of each group stays.
 
     If such an id stands in several rows (repeated rows), one of them stays. Rows without an id can't be named by a
     component, and stay.
     """
     scratch = Scratch(spark, "kept")
-    named = near_duplicates(docs.where("doc_id IS NOT NULL")).where("doc_id = component_id")
+    named = near_duplicates(docs.where("doc_id IS NOT NULL"), radius=radius, size=size).where("doc_id = component_id")
     keep = scratch.keep(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")))
     out = docs.join(keep.select("doc_id"), "doc_id", "left_semi")
     if keep.where("copies > 1").head(1):

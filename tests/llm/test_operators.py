@@ -93,6 +93,40 @@ def brute_hits(texts, items):
     return out
 
 
+def test_wider_links_and_shingles(spark):
+    rng, fps = random.Random(2), {0, (1 << 64) - 1}
+    for _ in range(12):
+        f = rng.getrandbits(64)
+        for _ in range(4):
+            fps.add(f)
+            for b in rng.sample(range(64), rng.randint(1, 6)):
+                f ^= 1 << b
+    df = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long")
+    for radius in (0, 2, 4):
+        top = {f: f for f in fps}
+
+        def root(f, top=top):
+            return f if top[f] == f else root(top[f])
+
+        for u, v in itertools.combinations(sorted(fps), 2):
+            if (u ^ v).bit_count() <= radius:
+                top[root(u)] = root(v)
+        want = {frozenset(f for f in fps if root(f) == r) for r in map(root, fps)}
+        edges = [(r["u"] % (1 << 64), r["v"] % (1 << 64)) for r in op1.links(df, radius).collect()]
+        assert all((u ^ v).bit_count() <= radius for u, v in edges)
+        near = {f: {f} for f in fps}
+        for u, v in edges:
+            both = near[u] | near[v]
+            for f in both:
+                near[f] = both
+        assert {frozenset(x) for x in near.values()} == want
+    with pytest.raises(ValueError):
+        op1.links(df, 3)
+    text = "one two three four five six seven eight"
+    got = op1.near_duplicates(spark.createDataFrame([(1, text)], "doc_id long, text string"), size=5).first()
+    assert int(got["fingerprint"], 16) == op1.fingerprint(text, 5) != op1.fingerprint(text)
+
+
 def test_fm_index_against_brute_force():
     random.seed(3)
     for _ in range(30):
