@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 METRES = 111_320.0  # of a degree
 
 
+def let(x: Column, f) -> Column:
+    """f of x, with x computed once however often f uses it."""
+    return F.transform(F.array(x), f)[0]
+
+
 def metres(lon1: Column, lat1: Column, lon2: Column, lat2: Column, lat0: float) -> Column:
     """Planar distance on a local metric around latitude lat0."""
     import math

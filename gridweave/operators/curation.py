@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import settled
+
 
 def linked_groups(nodes: DataFrame, edges: DataFrame, id_col: str, rounds: int = 60) -> DataFrame:
     """(id, group): the least id that each node reaches over edges (u, v).
@@ -14,16 +14,14 @@ def linked_groups(nodes: DataFrame, edges: DataFrame, id_col: str, rounds: int =
     Each round takes the least label among neighbours and then the label of that label, so long chains shorten
     quickly; each round's labels are checkpointed in the shared folder. Raises if `rounds` don't settle it.
     """
-    context = nodes.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(nodes.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="shared-"))
-    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u != v").distinct().checkpoint()
+    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u != v").distinct()
+    both = settled(both)
     now = nodes.select(F.col(id_col).alias("id"), F.col(id_col).alias("g"))
     for _ in range(rounds):
         near = both.join(now, F.col("v") == F.col("id")).groupBy("u").agg(F.min("g").alias("m"))
         step = now.join(near, F.col("id") == F.col("u"), "left").select("id", F.col("g").alias("old"), F.least("g", F.coalesce("m", "g")).alias("g"))
         up = step.select(F.col("id").alias("_id"), F.col("g").alias("_g"))
-        nxt = step.join(up, F.col("g") == F.col("_id")).select("id", "old", F.least("g", "_g").alias("g")).checkpoint()
+        nxt = settled(step.join(up, F.col("g") == F.col("_id")).select("id", "old", F.least("g", "_g").alias("g")))
         now = nxt.select("id", "g")
         if nxt.where("g != old").isEmpty():
             return now.select(F.col("id").alias(id_col), F.col("g").alias("group"))

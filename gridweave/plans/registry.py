@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core, deeper, flagship as first, sampling, wider
+from . import cells, core, deeper, demand, flagship as first, placing, sampling, shaping, wider
+
+MODULES = (first, core, wider, sampling, deeper, placing, demand, shaping, cells)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**first.QUERIES, **core.QUERIES, **wider.QUERIES, **sampling.QUERIES, **deeper.QUERIES}
+    return {name: q for m in MODULES for name, q in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**first.ORACLE, **core.ORACLE, **wider.ORACLE, **sampling.ORACLE, **deeper.ORACLE}
+    return {name: sql for m in MODULES for name, sql in m.ORACLE.items()}
