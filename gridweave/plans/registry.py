@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cells, core, deeper, demand, flagship as first, placing, sampling, shaping, wider
+from . import cells, climate, core, deeper, demand, flagship as first, placing, sampling, shaping, stores, texts, wider
 
-MODULES = (first, core, wider, sampling, deeper, placing, demand, shaping, cells)
+MODULES = (first, core, wider, sampling, deeper, placing, demand, shaping, cells, stores, climate, texts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
