@@ -7,12 +7,18 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def weighted_quantile(df: DataFrame, group: str, value: str, weight: str, q: float, slack: float = 1e-9) -> DataFrame:
-    """The first value whose cumulative weight reaches q of the total. Equal values are summed before the shuffle."""
+def weighted_quantiles(df: DataFrame, group: str, value: str, weight: str, qs: list[float], slack: float = 1e-9) -> DataFrame:
+    """(group, q, quantile): the first value whose cumulative weight reaches q of the total, for all q in one pass.
+
+    Equal values are summed before the shuffle, so the running sums hold distinct values only.
+    """
     own = df.groupBy(group, value).agg(F.sum(weight).alias("_w"))
     run = F.sum("_w").over(W.partitionBy(group).orderBy(value).rowsBetween(W.unboundedPreceding, 0))
     total = F.sum("_w").over(W.partitionBy(group))
-    return own.withColumn("_c", run).withColumn("_t", total).where(F.col("_c") >= q * F.col("_t") - slack).groupBy(group).agg(F.min(value).alias("quantile"))
+    first = [F.min(F.when(F.col("_c") >= q * F.col("_t") - slack, F.col(value))).alias(f"_q{i}") for i, q in enumerate(qs)]
+    by = own.withColumn("_c", run).withColumn("_t", total).groupBy(group).agg(*first)
+    pairs = F.array(*(F.struct(F.lit(q).alias("q"), F.col(f"_q{i}").alias("quantile")) for i, q in enumerate(qs)))
+    return by.select(group, F.explode(pairs).alias("_x")).select(group, "_x.q", "_x.quantile")
 
 
 def suppressed(df: DataFrame, group: list[str], value: str, least: int = 10) -> DataFrame:
