@@ -89,7 +89,7 @@ def households(df: DataFrame, targets: DataFrame, home: Column, score: Column, c
     for pool, need in (("_home AND urban", "town"), ("_home AND NOT urban", "country"), (None, None)):
         if pool is None:
             had = out.groupBy(F.col(district).alias("_d")).agg(F.sum("households").alias("_had"))
-            out = out.join(had, F.col(district) == F.col("_d")).withColumn("_short", F.greatest(F.col("total") - F.col("_had"), F.lit(0))).drop("_d", "_had")
+            out = out.join(had, F.col(district) == F.col("_d"), "left").withColumn("_short", F.greatest(F.col("total") - F.col("_had"), F.lit(0))).drop("_d", "_had")
             pool, need = "_home AND households = 0", "_short"
         filled = picks.fill(out.where(pool.replace("urban", urban)).where(F.col(need) > 0).select(id_col, district, "_score", "_cap", F.col(need).alias("_need")), district, "_score", "_cap", "_need", id_col)
         got = filled.where("units > 0").select(F.col(id_col).alias("_id"), F.col("units").cast("long").alias("_u"))

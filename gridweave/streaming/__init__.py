@@ -12,7 +12,8 @@ def hourly_load(events: DataFrame, key: str, ts: str, value: str, id_col: str, l
     Events that come over `late` after the newest one are left out and their state is dropped; so the state is bounded by
     the rows of that time. Events that come again within it are counted once. Works on batch tables as well.
     """
-    own = events.where(F.col(ts).isNotNull()).withWatermark(ts, late).dropDuplicatesWithinWatermark([id_col])
+    own = events.where(F.col(ts).isNotNull())
+    own = own.withWatermark(ts, late).dropDuplicatesWithinWatermark([id_col]) if events.isStreaming else own.dropDuplicates([id_col])
     hours = own.groupBy(F.col(key), F.window(ts, "1 hour").alias("_w")).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
     return hours.select(key, F.col("_w.start").alias("hour"), "n", "total")
 
