@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def released() -> None:
+    """Gives memory that a Python worker no longer uses back to the system, as workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -16,10 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as spark.checkpoint.dir names it.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and set.
+    Only where that setting is absent and Spark runs on one machine, a temporary folder is made and set.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         at = f"file://{tempfile.mkdtemp(prefix='shared-')}"
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -52,6 +64,52 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def open_uri(uri: str, write: bool = False):
+    """A file in the shared store, by any store that Arrow knows: file, hdfs, s3, gs, abfs."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri)
+    if write:
+        store.create_dir(path.rpartition("/")[0], recursive=True)
+        return store, path, store.open_output_stream(path)
+    return store, path, store.open_input_file(path)
+
+
+SEEN_BITS = 1 << 29  # of a bitmap of ids at most: 64 MB
+
+
+def id_bitmap(ids: DataFrame, id_col: str) -> tuple[DataFrame, int]:
+    """(bucket, bits) rows of a bitmap of hashed ids, and its number of bits: 16 for each id, and SEEN_BITS at most.
+
+    So what is broadcast has a fixed bound. Where there are more ids than bits, more of the other rows are taken for
+    one of them; nothing is lost by that.
+    """
+    n = ids.count()
+    size = min(SEEN_BITS, 1 << max(15, (16 * n).bit_length()))
+    spot = _spot(id_col, size)
+    return ids.groupBy(F.bitmap_bucket_number(spot).alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("_bits")), size
+
+
+def _spot(id_col: str, size: int) -> F.Column:
+    return F.pmod(F.xxhash64(id_col), F.lit(size)) + 1
+
+
+def apart(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", ids_col: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Rows (key, row) of docs surely not among ids, and those that may be: only the latter's texts need a shuffle.
+
+    key is the id, and row holds all columns of docs, so that no name can clash. The broadcast bitmap decides each row
+    where it is read. A null id counts as an id.
+    """
+    bitmap, size = id_bitmap(ids, ids_col)
+    own = docs.select(docs[id_col].alias("key"), F.struct(*(docs[c] for c in docs.columns)).alias("row"))
+    spot = _spot("key", size)
+    marked = own.withColumn("bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(bitmap), F.col("bucket") == F.col("_bucket"), "left")
+    at = F.bitmap_bit_position(spot).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    marked = marked.select("key", "row", F.coalesce(F.getbit(byte, at.bitwiseAND(F.lit(7))) == 1, F.lit(False)).alias("hit"))
+    return marked.where("NOT hit").drop("hit"), marked.where("hit").drop("hit")
+
+
 def connected_components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; component is the least node it reaches.
 

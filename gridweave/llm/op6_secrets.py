@@ -8,7 +8,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import Scratch, apart, table
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,8 @@ MORE = (
 )
 MARK = "[SECRET]"
 MOST = 16  # strings that an exact prefix is followed as, before it is split
-SPAN = "array<struct<start:int,rank:int,end:int>>"
+SPAN = "array<struct<start:int,rank:int,end:int,at:int,to:int>>"  # at and to in bytes, the others in code points
+PIECE = 128  # entries of an array that are folded at once, so that long ones don't cost their square
 
 
 def _exact(tree) -> set[str] | None:
@@ -101,21 +102,50 @@ def trigram_query(pattern: str) -> list[frozenset[str]]:
     return sorted((q for q in best if not any(o < q for o in best)), key=sorted)
 
 
+def _let(x: Column, f) -> Column:
+    """f of x, with x computed once."""
+    return F.transform(F.array(x), f)[0]
+
+
+def _before(items: Column, own, join, zero: int = 0) -> Column:
+    """For each entry of an array, what join() makes of zero and own() of the entries before it (join: sum, greatest).
+
+    Pieces of PIECE entries are folded by themselves, from what the pieces before them give; so no array is copied
+    once for each of its entries.
+    """
+    pieces = F.when(F.size(items) > 0, F.sequence(F.lit(0), ((F.size(items) - 1) / PIECE).cast("int"))).otherwise(F.array().cast("array<int>"))
+    piece = lambda b: F.slice(items, b * PIECE + 1, F.lit(PIECE))
+    add = lambda acc, x: F.concat(acc, F.array(join(F.element_at(acc, -1), x)))
+    sums = F.transform(pieces, lambda b: F.aggregate(piece(b), F.lit(zero), lambda s, x: join(s, own(x))))
+    bases = F.aggregate(sums, F.array(F.lit(zero)), add)
+
+    def within(starts: Column) -> Column:
+        runs = F.transform(pieces, lambda b: F.aggregate(piece(b), F.array(F.element_at(starts, b + 1)), lambda acc, x: add(acc, own(x))))
+        return F.flatten(F.transform(runs, lambda r: F.slice(r, F.lit(1), F.size(r) - 1)))
+
+    return _let(bases, within)
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
 def _all_matches(text: Column, rule: Rule, rank: int) -> Column:
-    """Spans of a rule as (start, rank, end) in code points: what lies between matches gives their places."""
+    """Spans of a rule: what lies between matches gives their places."""
     pattern = F.lit(rule.pattern)
     gaps, found = F.split(text, rule.pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     parts = F.arrays_zip(gaps.alias("gap"), found.alias("hit"), F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("own"))
+    size = lambda f, x: F.coalesce(f(x), F.lit(0)).cast("int")
+    sizes = F.transform(parts, lambda x: F.struct(*(size(f, x[c]).alias(n) for n, f, c in (("gap", F.length, "gap"), ("hit", F.length, "hit"), ("own", F.length, "own"), ("gap_b", F.octet_length, "gap"), ("hit_b", F.octet_length, "hit")))))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        one = F.array(F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end")))
-        keep = F.length(x["own"]) >= rule.least
-        return F.struct(F.coalesce(end, start).alias("at"), F.when(keep, F.concat(acc["spans"], one)).otherwise(acc["spans"]).alias("spans"))
+    def spans(xs: Column) -> Column:
+        chars, raw = (_before(xs, lambda x, u=u: x[f"gap{u}"] + x[f"hit{u}"], _sum) for u in ("", "_b"))
+        placed = F.arrays_zip(xs.alias("x"), chars.alias("c"), raw.alias("b"))
+        kept = F.filter(placed, lambda p: (p["x"]["hit"] > 0) & (p["x"]["own"] >= rule.least))
+        start, at = (lambda p: p["c"] + p["x"]["gap"]), (lambda p: p["b"] + p["x"]["gap_b"])
+        return F.transform(kept, lambda p: F.struct(start(p).alias("start"), F.lit(rank).alias("rank"), (start(p) + p["x"]["hit"]).alias("end"), at(p).alias("at"), (at(p) + p["x"]["hit_b"]).alias("to")))
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
-    return F.aggregate(parts, empty, step)["spans"]
+    return _let(sizes, spans)
 
 
 def index(docs: DataFrame, trigrams: list[str]) -> DataFrame:
@@ -141,23 +171,22 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...]) -> tuple[DataFrame, lis
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = MORE) -> DataFrame:
-    """id, text, row (the other columns of docs), base and found, for each row of docs.
+    """key (the id), text, row (all columns of docs), base and found, for each row of docs.
 
-    base and found are the sorted spans (start, rank, end) of the base rules and of all rules. Rules with mandatory
-    trigrams are tried on the documents that the index offers; `hex` has none and scans all. The rank is a rule's place
-    in BASE and then in `rules`. Docs' own columns are kept in `row`, so their names can't clash with any here.
-    A null text is empty. Postings of rows that share an id are taken together: each row is verified by the patterns,
-    so that a row more among the candidates changes nothing; rows without an id are joined as one id is.
+    base and found are the sorted spans of the base rules and of all rules; the rank is a rule's place in BASE and then
+    in `rules`. Rules with mandatory trigrams are tried on the documents that the index offers; `hex` has none and scans
+    all. Only rows that a bitmap takes for offered ones are shuffled with their texts; the others are scanned where
+    they are read. A null text is empty. Postings of rows that share an id are taken together: each row is verified by
+    the patterns, so that a row more among the candidates changes nothing; rows without an id are joined as one id is.
     """
     every = (*BASE, *rules)
     offered, full = candidates(docs, every)
-    offered = offered.select(F.col("doc_id").alias("offered_id"), F.col("rules").alias("offered_rules"))
-    others = [docs[c] for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(None).alias("none")]
-    own = docs.select(F.col("doc_id").alias("id"), "text", F.struct(*others).alias("row"))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    out = own.join(offered.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("offered_id")), "left")
+    offered = Scratch(docs.sparkSession, "secrets").keep(offered.select(F.col("doc_id").alias("offered_id"), F.col("rules").alias("offered_rules")), "offered")
+    rest, asked = apart(docs, offered, "doc_id", "offered_id")
+    met = asked.join(offered.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("offered_id")), "left").select("key", "row", "offered_rules")
+    out = rest.withColumn("offered_rules", F.lit(None).cast("long")).unionAll(met).withColumn("text", F.coalesce(F.col("row.text"), F.lit("")))
     none = F.array().cast(SPAN)
-    spans = []
+    text, spans = F.col("text"), []
     for i, rule in enumerate(every):
         worth = text.rlike(rule.pattern)
         if i not in full:
@@ -165,8 +194,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = MORE) -> DataFrame:
         spans.append(F.when(worth, _all_matches(text, rule, i)).otherwise(none))
     n = len(BASE)
     base, more = F.array_sort(F.concat(*spans[:n])), F.concat(*spans[n:]) if rules else none
-    out = out.select("id", "text", "row", base.alias("base"), more.alias("more"))
-    return out.select("id", "text", "row", "base", F.when(F.size("more") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", "more"))).alias("found"))
+    out = out.select("key", "text", "row", base.alias("base"), more.alias("more"))
+    return out.select("key", "text", "row", "base", F.when(F.size("more") == 0, F.col("base")).otherwise(F.array_sort(F.concat("base", "more"))).alias("found"))
 
 
 def _told(spans: Column, kinds: list[str]) -> Column:
@@ -174,12 +203,16 @@ def _told(spans: Column, kinds: list[str]) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(names, s["rank"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def _count(spans: str, rank: int) -> Column:
+    return F.size(F.filter(spans, lambda s: s["rank"] == rank)).cast("long")
+
+
 def secrets(docs: DataFrame, rules: tuple[Rule, ...] = MORE) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans of each row of docs."""
     kinds = [r.kind for r in (*BASE, *rules)]
     found = scan(docs.select("doc_id", "text"), rules)
-    counts = [F.size(F.filter("base", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
-    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(_told(F.col("base"), kinds), 256).alias("base_sha256"), _told(F.col("found"), kinds).alias("spans"))
+    counts = [_count("base", i).alias(f"n_{r.kind}") for i, r in enumerate(BASE)]
+    return found.select(F.col("key").alias("doc_id"), *counts, F.sha2(_told(F.col("base"), kinds), 256).alias("base_sha256"), _told(F.col("found"), kinds).alias("spans"))
 
 
 def op6_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,14 +223,18 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows of docs, with each found span (overlapping ones as one) replaced by [SECRET], and n_chars told anew."""
     found = scan(docs)
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        gap = F.when(fresh, F.concat(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(MARK))).otherwise(F.lit(""))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.concat(acc["out"], gap).alias("out"))
-
-    whole = F.aggregate("found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
-    clean = found.select("id", "row", "found", F.when(F.size("found") > 0, whole).otherwise(F.col("text")).alias("text"))
-    told = {"doc_id": F.col("id"), "text": F.col("text")}
+    def clean(raw: Column) -> Column:
+        """What stands before each span that begins after all earlier ones end, with the mark; and the rest."""
+        reach = _before(F.col("found"), lambda s: s["to"], F.greatest)
+        fresh = F.filter(F.arrays_zip(F.col("found").alias("s"), reach.alias("from")), lambda p: p["s"]["at"] >= p["from"])
+        gaps = F.transform(fresh, lambda p: F.concat(F.substring(raw, p["from"] + 1, p["s"]["at"] - p["from"]).cast("string"), F.lit(MARK)))
+        last = F.array_max(F.transform("found", lambda s: s["to"]))
+        return F.concat(F.array_join(gaps, ""), F.substring(raw, last + 1, F.octet_length(raw)).cast("string"))
+
+    some = F.size("found") > 0
+    text = F.when(some, _let(F.col("text").cast("binary"), clean)).otherwise(F.col("row.text"))
+    out = found.select("row", some.alias("some"), text.alias("text"))
+    told = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        told["n_chars"] = F.when(F.size("found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row")["n_chars"])
-    return clean.select(*(told.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
+        told["n_chars"] = F.when(F.col("some"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row")["n_chars"])
+    return out.select(*(told.get(c, F.col("row")[c]).alias(c) for c in docs.columns))
