@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, table
+from .common import Scratch, apart, connected_components, table
 
 BITS = 64
 BLOCK = 1 << 15  # shingles whose bits are counted at once
@@ -99,13 +99,16 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str, radius: int = 2, size: int = 3) -> DataFrame:
     """The rows of docs whose id names their component: one document of each group stays.
 
-    If such an id stands in several rows (repeated rows), one of them stays. Rows without an id can't be named by a
-    component, and stay.
+    If such an id stands in several rows, the one with the least text stays (then by the other columns as JSON). Rows
+    without an id can't be named by a component, and stay. Whole texts are shuffled only of rows whose id is repeated or
+    dropped, or shares its place in a bitmap with one that is; all others are decided where they are read.
     """
     scratch = Scratch(spark, "kept")
-    named = near_duplicates(docs.where("doc_id IS NOT NULL"), radius=radius, size=size).where("doc_id = component_id")
-    keep = scratch.keep(named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies")))
-    out = docs.join(keep.select("doc_id"), "doc_id", "left_semi")
-    if keep.where("copies > 1").head(1):
-        out = out.dropDuplicates(["doc_id"])
-    return out.select(*docs.columns).unionAll(docs.where("doc_id IS NULL"))
+    named = near_duplicates(docs.where("doc_id IS NOT NULL"), radius=radius, size=size)
+    told = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("copies"), F.max((F.col("doc_id") == F.col("component_id")).cast("int")).alias("stays"))
+    odd = scratch.keep(told.where("copies > 1 OR stays = 0").select(F.col("doc_id").alias("odd_id"), "copies", "stays"), "odd")
+    fine, asked = apart(docs, odd, "doc_id", "odd_id")
+    met = asked.join(odd, F.col("key") == F.col("odd_id"), "left")
+    others = F.to_json(F.struct("row"))
+    one = met.where("stays = 1 AND copies > 1").groupBy("key").agg(F.min_by("row", F.struct("row.text", others)).alias("row"))
+    return fine.unionAll(met.where("odd_id IS NULL").select("key", "row")).unionAll(one).select("row.*")
