@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import io
 import math
 from collections.abc import Iterator
 
@@ -13,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, connected_components, table
+from .common import Scratch, connected_components, open_uri, table
 
 THRESHOLD = 0.9
-BLOCK = 4096  # vectors of a leaf interval
+BLOCK = 1 << 14  # vectors of a leaf interval at most
+BLOCK_BYTES = 8 << 20  # and of their numbers
 INNER = 256  # vectors of the smallest interval that is told apart within a leaf
 FANOUT = 16
 AXES = 6  # leading principal dimensions of the grid
@@ -46,7 +48,7 @@ def _classes(vectors: DataFrame, id_col: str, col: str) -> DataFrame:
 
 def _axes(classes: DataFrame, n: int = SAMPLE, k: int = AXES) -> dict[int, np.ndarray]:
     """By length of vector, orthonormal leading directions, of a bounded sample in the order of a hash."""
-    rows = classes.select("rep", "vec").orderBy(F.xxhash64("rep"), "rep").limit(n).collect()
+    rows = classes.select("vec").orderBy(F.xxhash64("key"), "key").limit(n).collect()
     out = {}
     for size in {len(r["vec"]) // 8 for r in rows}:
         x = np.array([np.frombuffer(r["vec"]) for r in rows if len(r["vec"]) == 8 * size])
@@ -77,10 +79,10 @@ def _grid(classes: DataFrame, axes: dict[int, np.ndarray], eps: float, k: int =
 
 
 def _numbered(cells: DataFrame, scratch: Scratch, tasks: int, block: int) -> DataFrame:
-    """Each class with the leaf interval, counted from 0 along the order of cells.
+    """Each class with its number along the order of cells, `node`, and its leaf interval; both from 0.
 
-    The order is dealt out by ranges of (cell, hash of id), so one crowded cell spreads over many tasks. Only a count
-    for each task is summed over all.
+    The order is dealt out by ranges of (cell, hash of key), so one crowded cell spreads over many tasks. Only a count
+    for each task is summed over all. Numbers are written before they are used, so that they stay what they are.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,19 +95,23 @@ def _numbered(cells: DataFrame, scratch: Scratch, tasks: int, block: int) -> Dat
             seen += batch.num_rows
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cells.schema)
-    order = ["cell", F.xxhash64("rep"), "rep"]
+    order = ["cell", F.xxhash64("key"), "key"]
     ordered = cells.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     placed = scratch.keep(ordered.mapInArrow(count, f"{fields}, part long, seq long").drop("cell"), "ordered")
     sums = placed.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     first = sums.select("part", F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("first"))
-    return placed.join(F.broadcast(first), "part").withColumn("leaf", F.floor((F.col("first") + F.col("seq")) / block).cast("long")).drop("part", "seq", "first")
+    node = F.col("first") + F.col("seq")
+    return placed.join(F.broadcast(first), "part").withColumn("node", node).withColumn("leaf", F.floor(node / block).cast("long")).drop("part", "seq", "first")
 
 
-def _leaves(numbered: DataFrame, axes: dict[int, np.ndarray], scratch: Scratch, k: int = AXES) -> DataFrame:
-    """A row for each leaf interval: its ids, class sizes, vectors, and a box on the leading directions."""
+def _leaves(numbered: DataFrame, axes: dict[int, np.ndarray], scratch: Scratch, folder: str, k: int = AXES) -> DataFrame:
+    """(leaf, lo, hi) for each leaf interval: its box on the leading directions. Its vectors go to a file in folder.
+
+    A file holds one leaf and is renamed when whole, so a task that runs again leaves the same file.
+    """
 
     def build(own: pd.DataFrame) -> pd.DataFrame:
-        own = own.sort_values("rep")
+        own = own.sort_values("node")
         ys = []
         for v in own["vec"]:
             x = np.frombuffer(v)
@@ -114,11 +120,30 @@ def _leaves(numbered: DataFrame, axes: dict[int, np.ndarray], scratch: Scratch,
         y = np.array(ys)
         inner = np.lexsort(y.T[::-1])
         own, y = own.iloc[inner], y[inner]
-        sizes = own["vec"].map(len).to_numpy(np.int64)
-        return pd.DataFrame({"leaf": [own["leaf"].iloc[0]], "lo": [y.min(axis=0).tolist()], "hi": [y.max(axis=0).tolist()], "ids": [own["rep"].to_numpy(np.int64).tobytes()], "copies": [own["copies"].to_numpy(np.int64).tobytes()], "sizes": [sizes.tobytes()], "vecs": [b"".join(own["vec"])], "spots": [y.tobytes()]})
+        arrays = (own["node"].to_numpy(np.int64), own["copies"].to_numpy(np.int64), own["vec"].map(len).to_numpy(np.int64), np.frombuffer(b"".join(own["vec"])), y)
+        leaf = int(own["leaf"].iloc[0])
+        _save(f"{folder}/{leaf}", arrays)
+        return pd.DataFrame({"leaf": [leaf], "lo": [y.min(axis=0).tolist()], "hi": [y.max(axis=0).tolist()]})
+
+    return scratch.keep(numbered.groupBy("leaf").applyInPandas(build, "leaf long, lo array<double>, hi array<double>"), "leaves")
+
+
+def _save(uri: str, arrays: tuple[np.ndarray, ...]) -> None:
+    from pyspark import TaskContext
+
+    store, path, file = open_uri(f"{uri}.{TaskContext.get().taskAttemptId()}.tmp", write=True)
+    with file:
+        for x in arrays:
+            raw = io.BytesIO()
+            np.save(raw, x)
+            file.write(raw.getvalue())
+    store.move(path, path.rsplit(".", 2)[0])
+
 
-    cols = "leaf long, lo array<double>, hi array<double>, ids binary, copies binary, sizes binary, vecs binary, spots binary"
-    return scratch.keep(numbered.groupBy("leaf").applyInPandas(build, cols), "leaves")
+def _load(uri: str) -> _Leaf:
+    with open_uri(uri)[2] as file:
+        raw = io.BytesIO(file.read())
+    return _Leaf([np.load(raw) for _ in range(5)])
 
 
 def _near(a: str, b: str, eps: float) -> F.Column:
@@ -154,11 +179,9 @@ def _interval_pairs(leaves: DataFrame, eps: float, fanout: int = FANOUT) -> Data
 
 
 class _Leaf:
-    def __init__(self, row):
-        self.ids, self.copies = np.frombuffer(row[0], np.int64), np.frombuffer(row[1], np.int64)
-        self.sizes = np.frombuffer(row[2], np.int64)
+    def __init__(self, arrays):
+        self.ids, self.copies, self.sizes, self.flat, self.spots = arrays
         self.ends = np.cumsum(self.sizes // 8)
-        self.flat, self.spots = np.frombuffer(row[3]), np.frombuffer(row[4]).reshape(len(self.ids), -1)
 
     def vectors(self, a: int, b: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Places in a..b that hold vectors of this many numbers, and the vectors."""
@@ -240,8 +263,9 @@ def linked(vectors: DataFrame, id_col: str = "vec_id", col: str = "embedding", t
     Pairs link at a cosine of at least threshold (over 0). Vectors that are null, empty or zero, or hold null or
     non-finite numbers, link with nothing, nor do rows without an id or vectors of different lengths; their n_links is
     0 and their component is their own id. Equal vectors are one class that is joined once, however many there are,
-    and whose copies count as links; pairs between classes are counted and never sent. Repeated ids are rows of their
-    own.
+    and whose copies count as links; pairs between classes are counted and never sent. Classes are named by their place
+    in the order, and components by the least id of their rows only at the end; so rows that share an id but not a
+    vector are rows of their own.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold is a cosine over 0")
@@ -249,38 +273,43 @@ def linked(vectors: DataFrame, id_col: str = "vec_id", col: str = "embedding", t
     scratch = Scratch(spark, "vectors")
     eps = math.sqrt(2 - 2 * threshold)
     rows = scratch.keep(_classes(vectors, id_col, col), "rows")
-    grouped = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.min("vec").alias("vec"))
-    classes = scratch.keep(grouped.withColumn("rep", F.col("rep").cast("long")), "classes")
+    grouped = rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies"), F.min("vec").alias("vec"))
+    classes = scratch.keep(grouped, "classes")
     axes = _axes(classes)
-    tasks = max(1, math.ceil(classes.count() / block))
-    leaves = _leaves(_numbered(_grid(classes.drop("key"), axes, eps), scratch, tasks, block), axes, scratch)
+    size = classes.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.length("vec")), F.lit(8)).alias("longest")).first()
+    block = max(1, min(block, BLOCK_BYTES // size["longest"]))
+    tasks = max(1, math.ceil(size["n"] / block))
+    numbered = scratch.keep(_numbered(_grid(classes, axes, eps), scratch, tasks, block), "numbered")
+    folder = scratch.path("files")
+    leaves = _leaves(numbered, axes, scratch, folder)
     pairs = scratch.keep(_interval_pairs(leaves, eps), "pairs")
-    payload = ["ids", "copies", "sizes", "vecs", "spots"]
-    n_pairs = max(1, pairs.count())
-    left = leaves.select(F.col("leaf").alias("a"), *(F.col(c).alias(f"a_{c}") for c in payload))
-    right = leaves.select(F.col("leaf").alias("b"), *(F.col(c).alias(f"b_{c}") for c in payload))
-    dealt = pairs.join(left, "a").join(right, "b").repartition(min(n_pairs, 10_000))
+    dealt = pairs.repartitionByRange(max(1, min(pairs.count(), 10_000)), "a", "b").sortWithinPartitions("a", "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, a = None, None
         for batch in batches:
-            for row in batch.to_pylist():
-                a, b = (_Leaf([row[f"{s}_{c}"] for c in payload]) for s in "ab")
-                same = row["a"] == row["b"]
-                la, lb, u, v = join_leaves(a, b, same, threshold)
-                i, j = la > 0, lb > 0
-                node = np.concatenate((a.ids[i], b.ids[j], u))
-                other = np.concatenate((a.ids[i], b.ids[j], v))
-                n = np.concatenate((la[i], lb[j], np.zeros(len(u), np.int64)))
+            for i, j in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if i != at:
+                    at, a = i, _load(f"{folder}/{i}")
+                b = a if i == j else _load(f"{folder}/{j}")
+                la, lb, u, v = join_leaves(a, b, i == j, threshold)
+                p, q = la > 0, lb > 0
+                node = np.concatenate((a.ids[p], b.ids[q], u))
+                other = np.concatenate((a.ids[p], b.ids[q], v))
+                n = np.concatenate((la[p], lb[q], np.zeros(len(u), np.int64)))
                 yield pa.record_batch([pa.array(node), pa.array(other), pa.array(n)], names=["u", "v", "n"])
 
     found = scratch.keep(dealt.mapInArrow(run, "u long, v long, n long"), "found")
-    counts = found.where("u = v").groupBy(F.col("u").alias("rep")).agg(F.sum("n").alias("far"))
+    counts = found.where("u = v").groupBy(F.col("u").alias("node")).agg(F.sum("n").alias("far"))
     groups = connected_components(found.where("u != v").select("u", "v"), scratch)
-    about = classes.select("key", "rep", "copies").join(counts, "rep", "left").join(groups.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    about = about.select("key", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    out = rows.select("id", "key").join(about, "key", "left")
-    component = F.coalesce("component_id", F.col("id").cast("long"))
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    placed = numbered.select("key", "node", "low", "copies").join(counts, "node", "left").join(groups, "node", "left").withColumn("root", F.coalesce("component", "node"))
+    names = placed.groupBy("root").agg(F.min("low").alias("component_id"))
+    about = placed.join(names, "root").select("key", (F.col("copies") - 1 + F.coalesce("far", F.lit(0))).alias("n_links"), "component_id")
+    joined = rows.where("key IS NOT NULL").select("id", "key").join(about, "key").select("id", "n_links", "component_id")
+    alone = rows.where("key IS NULL").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
+    kept = F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    wide = "long" if vectors.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int") else vectors.schema[id_col].dataType
+    return joined.unionAll(alone).select(F.col("id").alias(id_col), F.col("n_links").cast("long").alias("n_links"), F.col("component_id").cast(wide).alias("component_id"), kept.alias("kept"))
 
 
 def op7_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
