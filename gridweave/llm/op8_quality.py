@@ -12,15 +12,17 @@ from operator import eq
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import released, table
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 16  # 16 bits each
 SHORTEST, LONGEST = 3, 5  # characters of an n-gram
 WIDTH = 8
 EPOCHS, BATCH, RATE = 6, 32, 0.5
 SAMPLE = 4000  # labelled documents that the classifier is fitted on, in the order of a hash
+SAMPLE_BYTES = 96 << 20  # of their texts
 CUT = 0.3
 KNOWN = 150_000  # words whose sums a task remembers
 AGAIN = "\n"  # the token of a word that stands again right after itself
@@ -82,14 +84,17 @@ class Scorer:
                 yield 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n: int) -> DataFrame:
-    """(y, text): at most n labelled documents, whole, in the order of a hash of the id.
+def sample_of(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n: int, most: int = SAMPLE_BYTES) -> DataFrame:
+    """(doc_id, y, text): at most n labelled documents and `most` bytes, whole, in the order of a hash of the id.
 
-    Rows without an id or a label are left out. An id that has several labels takes the greatest.
+    Rows without an id or a label are left out. An id that has several labels takes the greatest, and one that stands
+    in several documents the greatest text, so that repeated ids don't pass the bounds.
     """
     own = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).where(learnable)
     own = own.groupBy("doc_id").agg(F.max(label).alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    return docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").select("doc_id", "y", "text")  # n rows at most
+    rows = docs.select("doc_id", "text").join(F.broadcast(own), "doc_id").groupBy("doc_id", "y").agg(F.max("text").alias("text"))  # n rows at most
+    held = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(W.orderBy(F.xxhash64("doc_id"), "doc_id"))
+    return rows.withColumn("held", held).where(F.col("held") <= most).drop("held")
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n: int = SAMPLE, seed: int = 7) -> Model:
@@ -106,9 +111,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n:
                 cache: dict[str, list[int]] = {}
                 flat = [i for w in tokens(t) for i in (cache.get(w) or cache.setdefault(w, features(w)))]
                 u, c = np.unique(np.array(flat, np.int32), return_counts=True)
-                ids.append(u.astype("<i4").tobytes())
+                ids.append(u.astype("<u2").tobytes())
                 counts.append((c / max(1, len(flat))).astype("<f4").tobytes())
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=["doc_id", "y", "ids", "parts"])
+        released()
 
     own = sample_of(docs, labels, label, learnable, n)
     rows = own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, y {own.schema['y'].dataType.simpleString()}, ids binary, parts binary").collect()
@@ -117,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n:
     share = (y.sum() + 0.5) / (len(y) + 1)
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(BUCKETS), math.log(share / (1 - share)))
-    ids = [np.frombuffer(r["ids"], "<i4") for r in rows]
+    ids = [np.frombuffer(r["ids"], "<u2") for r in rows]
     parts = [np.frombuffer(r["parts"], "<f4") for r in rows]
     del rows
     draw = np.random.default_rng(seed)
@@ -156,6 +162,8 @@ def scored(docs: DataFrame, model: Model, held_out: F.Column, cut: float = CUT)
         for batch in batches:
             scores = np.array(list(scorer.score(batch.column(2).to_pylist())), np.float64)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= cut).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
+        del scorer
+        released()
 
     return docs.select("doc_id", held_out.alias("held_out"), "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, score double, predicted int")
 
@@ -182,5 +190,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         scorer = model.value.scorer()
         for batch in batches:
             yield batch.filter(pa.array([s >= CUT for s in scorer.score(batch.column(at).to_pylist())], pa.bool_()))
+        del scorer
+        released()
 
     return docs.mapInArrow(run, docs.schema)
