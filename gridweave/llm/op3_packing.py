@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import released, table
 from .encoders import part_encoder, vocabulary
 
 WINDOW = 2048
@@ -106,6 +106,7 @@ def packed(docs: DataFrame, vocab: str | None = None, window: int = WINDOW, grou
                         col.append(x)
             kinds = [pa.int32(), batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.record_batch([pa.array(c, k) for c, k in zip(rows, kinds, strict=False)], names=["grp", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids"][: len(rows)])
+        released()
 
     extra = ", ids binary" if with_ids else ""
     cols = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long{extra}"

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, table
+from .common import Scratch, open_uri, released, table
 from .encoders import part_encoder, vocabulary
 
 END = 0
@@ -34,22 +34,23 @@ HEAD, FOOT = struct.Struct("<II"), struct.Struct("<IBI")
 
 class Writer:
     def __init__(self, out, width: int, level: int = 1):
-        self.out, self.dtype = out, f"<u{width}"
+        self.out, self.width = out, width
         self.pack = zstandard.ZstdCompressor(level=level, write_content_size=True).compress
         self.entries: list[tuple[int, int, int]] = []
         self.docs: list[tuple[bool, int, int, int, int]] = []
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        first = len(self.entries)
-        for k in range(0, len(ids), FRAME_IDS):
-            raw = ids[k : k + FRAME_IDS].astype(self.dtype).tobytes()
+    def add(self, doc_id: int | None, ids: bytes) -> None:
+        """ids: little-endian, as wide as the file's."""
+        first, step = len(self.entries), FRAME_IDS * self.width
+        for k in range(0, len(ids), step):
+            raw = ids[k : k + step]
             frame = self.pack(raw)
             self.out.write(frame)
             self.entries.append((len(frame), len(raw), xxhash.xxh64_intdigest(raw) & 0xFFFFFFFF))
-        self.docs.append((doc_id is not None, doc_id or 0, len(ids), first, len(self.entries) - first))
+        self.docs.append((doc_id is not None, doc_id or 0, len(ids) // self.width, first, len(self.entries) - first))
 
     def close(self) -> None:
-        docs = bytes([int(self.dtype[2:])]) + np.array(self.docs, DOC).tobytes()
+        docs = bytes([self.width]) + np.array(self.docs, DOC).tobytes()
         self.out.write(HEAD.pack(INDEX_MAGIC, len(docs)) + docs)
         table_ = np.array(self.entries, ENTRY).tobytes()
         self.out.write(HEAD.pack(TABLE_MAGIC, len(table_) + FOOT.size) + table_ + FOOT.pack(len(self.entries), HAS_CHECKSUMS, FOOT_MAGIC))
@@ -95,23 +96,12 @@ class Reader:
             yield int(doc["doc_id"]), np.concatenate([*self.frames(doc), np.zeros(0, self.dtype)])
 
 
-def open_uri(uri: str, write: bool = False):
-    """A file in the shared store, by any store that Arrow knows: file, hdfs, s3, gs, abfs."""
-    from pyarrow import fs
-
-    store, path = fs.FileSystem.from_uri(uri)
-    if write:
-        store.create_dir(path.rpartition("/")[0], recursive=True)
-        return store, path, store.open_output_stream(path)
-    return store, path, store.open_input_file(path)
-
-
-def write_token_files(docs: DataFrame, folder: str, scratch: Scratch, vocab: str | None = None) -> DataFrame:
+def write_token_files(docs: DataFrame, folder: str, scratch: Scratch, vocab: str | None = None, width: int = 2) -> DataFrame:
     """Writes token files below folder and returns the manifest: part, path, n_docs, n_tokens.
 
     Files hold documents in ascending order of doc_id (null first), and follow each other by part. Each task writes
     under a name of its own attempt and then renames: a task that runs again, after an executor is lost, leaves one
-    whole file. Repeated ids are all written.
+    whole file. Repeated ids are all written, in the order of their texts. `width` is that of an id in bytes.
     """
     path, run = vocab or vocabulary("byte_bpe_50k.json"), uuid.uuid4().hex
 
@@ -120,23 +110,23 @@ def write_token_files(docs: DataFrame, folder: str, scratch: Scratch, vocab: str
 
         task = TaskContext.get()
         uri, out, n, docs_ = f"{folder}/part-{task.partitionId():08d}.zst", None, 0, 0
-        coder = part_encoder(path, False, run)
-        width = 2 if coder.library.get_vocab_size() <= 1 << 16 else 4
+        coder = part_encoder(path, False, run, width)
+        end = END.to_bytes(width, "little")
         for batch in batches:
             for name, raw in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist()), strict=True):
                 if out is None:
                     store, at, file = open_uri(f"{uri}.{task.taskAttemptId()}.tmp", write=True)
                     out = Writer(file, width)
-                ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(END))
-                out.add(name, ids)
-                n, docs_ = n + len(ids), docs_ + 1
+                out.add(name, raw + end)
+                n, docs_ = n + len(raw) // width + 1, docs_ + 1
         if out is not None:
             out.close()
             file.close()
             store.move(at, at.removesuffix(f".{task.taskAttemptId()}.tmp"))
             yield pa.record_batch([pa.array([task.partitionId()], pa.int64()), pa.array([uri]), pa.array([docs_], pa.int64()), pa.array([n], pa.int64())], names=["part", "path", "n_docs", "n_tokens"])
+        released()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return scratch.keep(ordered.mapInArrow(write, "part long, path string, n_docs long, n_tokens long"), "manifest")
 
 
