@@ -10,10 +10,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import released, table
 
 WINDOW = 13
-SHARD_WORDS = 1 << 20  # words of an index at most, but for one longer document
+SHARD_WORDS = 1 << 19  # words of an index at most, but for one longer document
 SAMPLE = 8  # every 8th position of a run is kept
 BENCHMARK_BYTES = 64 << 20  # of test text that is held in memory at a time
 _WORD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -264,5 +264,6 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         for batch in batches:
             hit = [(n, int((s[:, 1] - s[:, 0]).sum())) for n, s, _ in find(batch.column(at).to_pylist(), blocks.value)]
             yield batch.filter(pa.array([not (h and 20 * h >= n) for n, h in hit], pa.bool_()))
+        released()
 
     return docs.mapInArrow(run, docs.schema)
