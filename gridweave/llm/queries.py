@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .oracles import ORACLE_SQL  # noqa: F401
 from .op1_simhash import op1_simhash_near_dedup
 from .op2_decontamination import op2_fm_decontamination
 from .op3_packing import op3_min_bin_slack_packing
@@ -24,4 +25,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_trigram_secrets, op7_epsilon_grid_join, op8_subword_quality, op9_template_url_filter, op10_token_counts,
     )
 }
-ORACLE_SQL: dict[str, str] = {}

@@ -8,6 +8,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 import xxhash
@@ -24,6 +25,7 @@ from gridweave.llm import op9_url_filter as op9
 from gridweave.llm import op10_token_counts as op10
 from gridweave.llm.common import Scratch, connected_components
 from gridweave.llm.encoders import PartEncoder, vocabulary
+from gridweave.llm.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, _id string, rules int, part long, lang string, source string, n_chars long"
@@ -221,6 +223,7 @@ def test_secrets_against_python(spark, docs):
         want[r["doc_id"]] = ",".join(f"{name}:{a}:{b}" for a, _, name, b in spans)
     for r in op6.secrets(docs).collect():
         if r["doc_id"] is not None:
+            assert [r["n_assign"], r["n_access"], r["n_hex"]] == [want[r["doc_id"]].count(f"{k}:") for k, *_ in CONTRACT]
             assert r["base_sha256"] == hashlib.sha256(want[r["doc_id"]].encode()).hexdigest()
             assert r["spans"] == want[r["doc_id"]]
     clean = {r["doc_id"]: r for r in op6.redact(spark, docs, DATA).collect()}
@@ -229,6 +232,42 @@ def test_secrets_against_python(spark, docs):
     assert frozenset({"aki", "kia"}) in op6.trigram_query("AKIA[A-Z0-9]{12,}")
 
 
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_queries_agree_with_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DATA}/{t}.parquet')")
+    cur = con.execute(ORACLE_SQL[name])
+    df = QUERIES[name](spark, DATA)
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(df.columns)
+    assert sorted(map(tuple, df.select(*names).collect())) == sorted(cur.fetchall())
+
+
+def test_many_secrets(spark):
+    """Very many matches in one text, of kinds that overlap, with letters of several bytes between them."""
+    rng = random.Random(9)
+    some = ["token=abcdefgh12", "password: é secret=00ffaa0011223344", "AKIA" + "B2" * 9, "0123456789abcdef" * 2, "ü 漢 😀", "api_key='" + "0af3" * 9 + "'", "x\n"]
+    texts = [" ".join(rng.choices(some, k=k)) for k in (0, 1, 5, 127, 128, 129, 900)] + ["token=abcdefgh " * 12_000]
+    df = spark.createDataFrame([(i, t, len(t), "r") for i, t in enumerate(texts)], "doc_id long, text string, n_chars int, row string")
+    clean = {r["doc_id"]: r for r in op6.redact(spark, df, DATA).collect()}
+    for r in op6.secrets(df, ()).collect():
+        text = texts[r["doc_id"]]
+        spans = sorted((m.start(), k, name, m.end()) for k, (name, p, flags, group, least) in enumerate(CONTRACT) for m in re.finditer(p, text, flags) if len(m[group]) >= least)
+        assert r["spans"] == ",".join(f"{name}:{a}:{b}" for a, _, name, b in spans)
+        out, at = "", 0
+        for a, _, _, b in spans:
+            out += text[at:a] + "[SECRET]" if a >= at else ""
+            at = max(at, b)
+        assert (clean[r["doc_id"]]["text"], clean[r["doc_id"]]["row"]) == (out + text[at:], "r")
+
+
+def test_repeated_vector_ids(spark):
+    df = spark.createDataFrame([(5, [1.0, 0.0], "a"), (5, [0.0, 1.0], "b"), (6, [1.0, 0.01], "c"), (5, [1.0, 0.0], "d"), (7, None, "e")], "vec_id long, embedding array<double>, key string")
+    rows = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in op7.linked(df).collect())
+    assert rows == [(5, 0, 5, True), (5, 2, 5, True), (5, 2, 5, True), (6, 2, 5, False), (7, 0, 7, True)]
+
+
 def test_embedding_links(spark):
     draw = np.random.default_rng(6)
     base = draw.normal(size=(12, 8))
@@ -253,14 +292,63 @@ def test_held_out_accuracy(spark):
     data = "/root/testdata/sf0.01"
     docs_, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
     assert accuracy(op8.quality_scores(docs_, labels), labels, "quality") > 0.95
-    assert accuracy(op5.toxicity(docs_, labels), labels, "toxic") > 0.85
+    assert accuracy(op5.toxicity(docs_, labels), labels, "toxic") > 0.9
 
 
 def test_grammar_scores_clauses():
     g = op5.Grammar({"idiot$": 3.0, "lowei": 3.0}, op5.PRIOR)
-    plain, targeted, negated, reported = (g.score(t) for t in ("what an idiot", "you are an idiot", "not an idiot", "she said idiot"))
-    assert targeted >= plain > negated and plain > reported and g.score("loweix") > 0.3 > g.score("nothing here") == g.score(None)
-    assert g.score("i will kill you") > g.score("to kill time")
+    bare, targeted, negated, reported = (g.score(t) for t in ("what an idiot", "you are an idiot", "not an idiot", "she said idiot"))
+    assert targeted > bare > negated and bare > reported and g.score("you loweix") > 0.3 > g.score("nothing here") == g.score(None)
+    assert g.score("idiot") == g.score("idiot. idiot\nidiot!") == g.score("")  # words alone are no clauses
+    kind = lambda t: np.flatnonzero(g.matches(t)).tolist()
+    assert kind("They were all idiots, you know") == [op5.TARGETED] and kind("The idiots of the town") == [op5.BARE]
+    for t in ("she said: you are an idiot", "he says that you are an idiot", "you are an idiot, they wrote", "Sie sagte: du idiot", "il disait: tu idiot", "a quoted idiot of old"):
+        assert kind(t) == [op5.REPORTED]
+    assert kind("she said hello. you are an idiot") == [op5.TARGETED]
+    for t in ("they are killing you", "i will kill you", "he burned them", "wir töten dich", "ils frappent vous"):
+        assert kind(t) == [op5.THREATENED]
+    assert kind("to kill time") == kind("you kill time") == []
+    for t in ("you are not an idiot", "du bist kein idiot", "never any idiots here"):
+        assert kind(t) == [op5.NEGATED]
+    assert kind("not an idiot but you idiot") == [op5.TARGETED]
+    assert g.matches("an idiot and an idiot; you idiot").tolist() == [3.0, 3.0, 0, 0, 0]
+
+
+def brute_kind(classes):
+    """The kind of one clause by its rules, without states; classes: those of its words."""
+    n, hot = len(classes), [i for i, c in enumerate(classes) if c in (op5.INSULT, op5.THREAT)]
+    at = lambda c: [i for i, x in enumerate(classes) if x == c]
+    insult, target, deny = at(op5.INSULT), at(op5.TARGET), at(op5.NEGATION)
+    threat = any(0 < t - i <= 3 and op5.THREAT not in classes[i + 1 : t] for i in at(op5.THREAT) for t in target)
+    if n < 2 or not (insult or threat):
+        return -1, bool(at(op5.REPORT))
+    if at(op5.REPORT):
+        return op5.REPORTED, True
+    if all(any(0 < i - d <= 3 for d in deny) for i in hot):
+        return op5.NEGATED, False
+    return op5.THREATENED if threat else op5.TARGETED if any(0 < abs(i - t) <= 4 for i in insult for t in target) else op5.BARE, False
+
+
+def test_automaton_against_rules():
+    """The composed automaton says of random clauses what the rules and the separate transducers say."""
+    rng, (after, says) = random.Random(8), op5.automaton()
+    seen = set()
+    for _ in range(6000):
+        state, parts, said = 0, [p.start for p in op5.PARTS], False
+        for _ in range(rng.randint(1, 3)):
+            clause = rng.choices(range(6), [5, 2, 1, 2, 1, 0.5], k=rng.randint(0, 9))
+            for c in clause:
+                assert says[state][c] == -1
+                state, parts = after[state][c], [p.step(s, c)[0] for p, s in zip(op5.PARTS, parts, strict=True)]
+            end = rng.choice([op5.COLON, op5.END])
+            want, report = brute_kind(clause)
+            if said and want >= 0:
+                want = op5.REPORTED
+            assert says[state][end] == op5.kind_of({x for p, s in zip(op5.PARTS, parts, strict=True) for x in p.step(s, end)[1]}) == want
+            state, parts = after[state][end], [p.step(s, end)[0] for p, s in zip(op5.PARTS, parts, strict=True)]
+            said = end == op5.COLON and (said or report)
+            seen.add(want)
+    assert seen == {-1, op5.BARE, op5.TARGETED, op5.NEGATED, op5.REPORTED, op5.THREATENED}
 
 
 def test_urls(spark):
@@ -414,5 +502,11 @@ def test_stages_keep_columns(spark, docs):
     assert one.columns == docs.columns
     ids = [r["doc_id"] for r in one.collect() if r["doc_id"] is not None]
     assert len(ids) == len(set(ids)) and 6 in ids and 7 not in ids
+    text = docs.where("doc_id = 4").first()["text"]
+    odd = spark.createDataFrame([(4, "zzz zz z", "x"), (4, text, "y"), (4, text, "y"), (9, text, "y"), (None, text, "y")], "doc_id long, text string, odd_id string")
+    assert sorted(map(str, op1.deduplicate(spark, odd, DATA).collect())) == sorted(map(str, [odd.collect()[1], odd.collect()[4]]))
+    for stage in (op2.decontaminate, op8.keep_good, op6.redact):
+        assert stage(spark, docs.limit(0), DATA).columns == docs.columns and stage(spark, docs.limit(0), DATA).count() == 0
+    assert op1.deduplicate(spark, docs.limit(0), DATA).count() == 0
     for stage in (op2.decontaminate, op8.keep_good):
         assert stage(spark, docs, DATA).columns == docs.columns
