@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import settled
+
 
 def prior_factors(df: DataFrame, cls: str, weight: str, want: dict[str, float], cap: float = 50.0) -> DataFrame:
     """Per class the share wanted over the share had, at most cap; 0 where nothing is had."""
@@ -21,23 +23,24 @@ def ratio_raking(df: DataFrame, region: str, value: Column, target: DataFrame) -
     return have.join(target, region, "left").withColumn("scale", F.col("target") / F.nullif(F.col("total"), F.lit(0.0)))
 
 
-def logit_shift(df: DataFrame, region: str, prob: str, target: DataFrame, reach: float = 15.0, passes: int = 10, parts: int = 16) -> DataFrame:
+def logit_shift(df: DataFrame, region: str, prob: str, target: DataFrame, reach: float = 15.0, passes: int = 6, parts: int = 64) -> DataFrame:
     """(region, shift): what is added to the logit of each probability so that a region's mean meets its target.
 
-    target: one row per region, (region, target). Equal probabilities of a region are counted once, before the shuffle;
-    each pass sums the shifted shares at parts - 1 points between the bounds and keeps the one interval that holds the
-    target. No group is collected, so a region may hold any number of rows. Probabilities of 0 and 1 stay as they are,
-    null ones and regions without a target are ignored.
+    target: one row per region, (region, target). Equal probabilities of a region are counted once, and that table is
+    written; each pass sums the shifted shares at parts - 1 points between the bounds, keeps the one interval that holds
+    the target, and writes a row a region. No group is collected, so a region may hold any number of rows.
+    Probabilities of 0 and 1 stay as they are, null ones and regions without a target are ignored.
     """
-    own = df.where(F.col(prob).isNotNull()).groupBy(region, prob).agg(F.count(F.lit(1)).alias("_n"))
+    own = settled(df.where(F.col(prob).isNotNull()).groupBy(region, prob).agg(F.count(F.lit(1)).alias("_n")))
     bounds = target.select(region, "target", F.lit(-reach).alias("_lo"), F.lit(reach).alias("_hi"))
+    step = (F.col("_hi") - F.col("_lo")) / parts
+    odds = F.col(prob) / (1 - F.col(prob))
     for _ in range(passes):
-        step = (F.col("_hi") - F.col("_lo")) / parts
-        odds = F.col(prob) / (1 - F.col(prob))
-        below = [(F.sum(F.col("_n") * _shifted(odds, F.col("_lo") + step * k)) < F.first("target") * F.sum("_n")).cast("int") for k in range(1, parts)]
-        found = own.join(bounds, region).groupBy(region).agg(F.first("target").alias("target"), F.first("_lo").alias("_from"), F.first(step).alias("_step"), sum(below[1:], below[0]).alias("_k"))
-        lo = F.col("_from") + F.col("_step") * F.col("_k")
-        bounds = found.select(region, "target", lo.alias("_lo"), (lo + F.col("_step")).alias("_hi"))
+        tried = own.join(bounds, region).withColumn("_k", F.explode(F.sequence(F.lit(1), F.lit(parts - 1))))
+        sums = tried.groupBy(region, "_k", "target", "_lo", "_hi").agg((F.sum(F.col("_n") * _shifted(odds, F.col("_lo") + step * F.col("_k"))) < F.col("target") * F.sum("_n")).alias("_below"))
+        found = sums.groupBy(region, "target", "_lo", "_hi").agg(F.count_if("_below").alias("_k"))
+        lo = F.col("_lo") + step * F.col("_k")
+        bounds = settled(found.select(region, "target", lo.alias("_lo"), (lo + step).alias("_hi")))
     return bounds.select(region, ((F.col("_lo") + F.col("_hi")) / 2).alias("shift"))
 
 

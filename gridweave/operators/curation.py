@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,21 @@ def linked_groups(nodes: DataFrame, edges: DataFrame, id_col: str, rounds: int =
     raise RuntimeError(f"groups did not settle in {rounds} rounds")
 
 
+@F.pandas_udf("string")
+def _nfkc(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+
+def folded(text: Column) -> Column:
+    """plain_text() after compatibility folding (NFKC): wide and joined letters, ligatures, odd blanks. Arrow batches."""
+    return plain_text(_nfkc(text))
+
+
+def sorted_map(m: Column) -> Column:
+    """A map with its entries in the order of their keys, so that equal maps give one JSON text."""
+    return F.map_from_entries(F.array_sort(F.map_entries(m)))
+
+
 def plain_text(text: Column) -> Column:
     """Folds dashes, quotes and common ligatures, drops soft hyphens, joins words cut at line ends, squeezes white space."""
     out = F.translate(text, "‐‑‒–—−‘’‚“”„ ­", "------'''\"\"\" ")  # the last one, a soft hyphen, is dropped

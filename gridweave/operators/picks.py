@@ -38,21 +38,27 @@ def take_top(df: DataFrame, group: str, score: str, need: str, id_col: str) -> D
     return ranked.where(F.col("rank") <= F.col(need)).drop("_before", "_total")
 
 
-def take_spaced(df: DataFrame, group: str, cell: str, score: str, need: str, id_col: str, cap: int, doublings: int = 8) -> DataFrame:
+def ranked_in_cells(df: DataFrame, group: str, cell: str, score: str, id_col: str) -> DataFrame:
+    """Adds in_cell: the rank of a row among those of its group and cell."""
+    return df.withColumn("in_cell", F.row_number().over(W.partitionBy(group, cell).orderBy(F.desc_nulls_last(score), id_col)))
+
+
+def take_spaced(df: DataFrame, group: str, cell: str, score: str, need: str, id_col: str, cap: int | str, doublings: int = 8) -> DataFrame:
     """take_top() with at most `cap` rows of a cell; a group that falls short gets twice the cap, up to `doublings` times.
 
     A row's rank within its cell is fixed, so the least sufficient cap follows from one count of ranks per group, and
-    nothing is tried in turn.
+    nothing is tried in turn. cap may be the name of a column that is constant within a group; rows that have their
+    rank, in_cell, keep it.
     """
-    inner = W.partitionBy(group, cell).orderBy(F.desc_nulls_last(score), id_col)
-    ranked = df.withColumn("in_cell", F.row_number().over(inner))
-    counts = [F.count_if(F.col("in_cell") <= cap * 2**k).alias(f"n{k}") for k in range(doublings)]
-    caps = ranked.groupBy(group).agg(F.max(need).alias("_need"), *counts)
-    fit = F.lit(cap * 2**doublings)
+    ranked = df if "in_cell" in df.columns else ranked_in_cells(df, group, cell, score, id_col)
+    first = F.col(cap) if isinstance(cap, str) else F.lit(cap)
+    counts = [F.count_if(F.col("in_cell") <= first * 2**k).alias(f"n{k}") for k in range(doublings)]
+    caps = ranked.groupBy(group).agg(F.max(need).alias("_need"), F.max(first).alias("_first"), *counts)
+    fit = F.col("_first") * 2**doublings
     for k in reversed(range(doublings)):
-        fit = F.when(F.col(f"n{k}") >= F.col("_need"), F.lit(cap * 2**k)).otherwise(fit)
+        fit = F.when(F.col(f"n{k}") >= F.col("_need"), F.col("_first") * 2**k).otherwise(fit)
     caps = caps.select(group, fit.cast("long").alias("cap"))
-    return take_top(ranked.join(caps, group).where("in_cell <= cap"), group, score, need, id_col)
+    return take_top(ranked.drop("cap").join(caps, group).where("in_cell <= cap"), group, score, need, id_col)
 
 
 def fill(df: DataFrame, group: str, score: str, capacity: str, need: str, id_col: str) -> DataFrame:

@@ -174,13 +174,13 @@ def census_split(spark, sf_dir):
 
 
 def cap_sensitivity(spark, sf_dir):
+    """The base cap of 2, its half, its double and fourfold, and none (0): cells are ranked once for all of them."""
     b = _cells(spark, sf_dir).withColumn("cell", F.floor(F.col("row") / 4) * 100 + F.floor(F.col("col") / 4))
-
-    def run(cap):
-        got = picks.take_spaced(b, "district", "cell", "score", "need", "bldg_id", cap)
-        return got.agg(F.lit(cap).alias("cap"), _n().alias("n"), F.sum("area").alias("area"), F.max("in_cell").cast("long").alias("most"))
-
-    return _union([run(cap) for cap in (1, 2, 4, 8)])
+    ranked = picks.ranked_in_cells(b, "district", "cell", "score", "bldg_id").select("bldg_id", "district", "cell", "score", "need", "area", "in_cell")
+    runs = ranked.withColumn("first", F.explode(F.array(*map(F.lit, (1, 2, 4, 8, 1 << 20))))).withColumn("run", F.concat_ws("/", F.col("first").cast("string"), "district"))
+    got = picks.take_spaced(runs, "run", "cell", "score", "need", "bldg_id", "first")
+    cap = F.when(F.col("first") == 1 << 20, 0).otherwise(F.col("first"))
+    return got.groupBy(cap.cast("int").alias("cap")).agg(_n().alias("n"), F.sum("area").alias("area"), F.max("in_cell").cast("long").alias("most"))
 
 
 def noise_bands(spark, sf_dir):
@@ -298,10 +298,10 @@ SELECT bldg_id, min(v) FILTER (run >= total / 2) AS median, count(*) AS n FROM s
 SELECT bldg_id, round(100 * (0.5::DOUBLE * coalesce(a, 0) + 0.3::DOUBLE * coalesce(b, 0) + 0.2::DOUBLE * coalesce(c, 0)), 3) AS points FROM s""",
     "census_split": f"""WITH {BLD}, n AS (SELECT cls, sum(floors)::DOUBLE / (SELECT sum(floors) FROM bld) AS share FROM bld GROUP BY 1), d AS (SELECT district, count(*) AS n FROM bld GROUP BY 1)
 SELECT district, cls, round(n * share, 6) AS units FROM d, n""",
-    "cap_sensitivity": f"""WITH {_C}, k AS (SELECT *, row_number() OVER (PARTITION BY district, (r // 4) * 100 + c // 4 ORDER BY score DESC, bldg_id) AS p FROM cel), caps AS (SELECT unnest([1, 2, 4, 8]) AS cap),
+    "cap_sensitivity": f"""WITH {_C}, k AS (SELECT *, row_number() OVER (PARTITION BY district, (r // 4) * 100 + c // 4 ORDER BY score DESC, bldg_id) AS p FROM cel), caps AS (SELECT unnest([1, 2, 4, 8, 1048576]) AS cap),
 t AS (SELECT cap, district, need, min(f) AS f FROM (SELECT cap, i, cap * 2 ** i AS f, district, need, count(*) FILTER (p <= cap * 2 ** i) AS n FROM caps, range(9) g(i), k GROUP BY ALL) WHERE n >= need OR i = 8 GROUP BY ALL),
 q AS (SELECT t.cap, k.*, row_number() OVER (PARTITION BY t.cap, k.district ORDER BY score DESC, bldg_id) AS place FROM t JOIN k USING (district) WHERE p <= f)
-SELECT cap, count(*) AS n, sum(area)::BIGINT AS area, max(p) AS most FROM q WHERE place <= need GROUP BY 1""",
+SELECT (CASE WHEN cap = 1048576 THEN 0 ELSE cap END)::INT AS cap, count(*) AS n, sum(area)::BIGINT AS area, max(p) AS most FROM q WHERE place <= need GROUP BY 1""",
     "noise_bands": f"""WITH {BLD}, u AS (SELECT district, area, run, md5(bldg_id || ':' || run) AS h FROM bld, range(10) g(run)), z AS (SELECT district, area, run, (('0x' || h[1:7])::BIGINT + 0.5::DOUBLE) / 268435456 AS a, (('0x' || h[8:14])::BIGINT + 0.5::DOUBLE) / 268435456 AS b FROM u),
 t AS (SELECT district, run, sum(area * exp(0.5::DOUBLE * sqrt(-2 * ln(a)) * cos(2 * pi() * b))) AS t FROM z GROUP BY ALL)
 SELECT district, round(quantile_cont(t, 0.1), 3) AS p10, round(quantile_cont(t, 0.5), 3) AS p50, round(quantile_cont(t, 0.9), 3) AS p90 FROM t GROUP BY 1""",

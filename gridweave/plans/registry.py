@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import cells, climate, core, deeper, demand, extras, flagship as first, modelling, placing, sampling, shaping, stores, texts, wider
+from . import cells, climate, core, deeper, demand, extras, flagship as first, modelling, placing, remainder, sampling, shaping, stores, texts, wider
 
-MODULES = (first, core, wider, sampling, deeper, placing, demand, shaping, cells, stores, climate, texts, extras, modelling)
+MODULES = (first, core, wider, sampling, deeper, placing, demand, shaping, cells, stores, climate, texts, extras, modelling, remainder)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

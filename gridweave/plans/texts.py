@@ -54,7 +54,7 @@ def web_claims(spark, sf_dir):
     """Bullets with digits in whole texts, and the address each names."""
     d = read(spark, sf_dir, "documents")
     text = F.concat(F.col("text"), F.lit("\n- kept "), F.col("doc_id").cast("string"), F.lit(" units, see data"), (F.col("doc_id") % 9).cast("string"), F.lit(".org\n* no figures\n* 7 of "), F.col("lang"))
-    return notes.bullet_claims(d.select("doc_id", text.alias("t")), "doc_id", "t").where("claim LIKE 'kept %' OR claim LIKE '7 of __'").select("doc_id", "claim", "source")
+    return notes.bullet_claims(d.select("doc_id", text.alias("t")), "doc_id", "t").select("doc_id", "claim", "source")
 
 
 def claim_rows(spark, sf_dir):
@@ -165,8 +165,8 @@ def profile_checks(spark, sf_dir):
 
 def derived_profiles(spark, sf_dir):
     """Profiles scaled from a base one, with the factor told."""
-    p = read(spark, sf_dir, "part").where("p_partkey < 23").select(F.col("p_partkey").alias("profile_id"), (F.col("p_size") * 1.0).alias("kwh"))
-    return p.unionAll(p.where("profile_id % 5 = 0").select((F.col("profile_id") + 1000).alias("profile_id"), (F.col("kwh") * 0.5).alias("kwh")))
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("profile_id"), (F.col("p_size") * 1.0).alias("kwh"))
+    return p.unionAll(p.where("profile_id % 5 = 0").select((F.col("profile_id") + 10_000_000).alias("profile_id"), (F.col("kwh") * 0.5).alias("kwh")))
 
 
 def archetype_violations(spark, sf_dir):
@@ -204,7 +204,8 @@ d AS (SELECT *, median(abs(size - mid)) OVER (PARTITION BY cell) * 1.4826::DOUBL
 SELECT bldg_id, n, CASE WHEN cv < 0.5 THEN 'uniform' WHEN cv < 1 THEN 'mixed' ELSE 'very mixed' END AS sizes, round(cv, 7) AS cv, round(z, 7) AS z, al / n AS aligned, coalesce(abs(z) >= 2, false) AS unusual FROM z""",
     "place_cues": f"""WITH {BLD}, b AS (SELECT bldg_id, floor((lon - 28.8::DOUBLE) * 2) AS cell, area, cls FROM bld), t AS (SELECT cell, string_agg(cls || ' x' || n, ', ' ORDER BY n DESC, cls) AS tags FROM (SELECT cell, cls, count(*) AS n FROM b GROUP BY ALL) GROUP BY 1), m AS (SELECT cell, median(area) AS mid FROM b GROUP BY 1)
 SELECT bldg_id, 'size: ' || CASE WHEN area >= 2 * mid THEN 'much larger' WHEN area > mid THEN 'larger' ELSE 'not larger' END || '; tags nearby: ' || tags AS cue FROM b JOIN t USING (cell) JOIN m USING (cell)""",
-    "web_claims": "SELECT doc_id, 'kept ' || doc_id || ' units, see data' || (doc_id % 9) || '.org' AS claim, 'data' || (doc_id % 9) || '.org' AS source FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id, '7 of ' || lang, 'unnamed' FROM documents WHERE text IS NOT NULL",
+    "web_claims": r"""WITH l AS (SELECT doc_id, trim(unnest(regexp_split_to_array(text || chr(10) || '- kept ' || doc_id || ' units, see data' || (doc_id % 9) || '.org' || chr(10) || '* no figures' || chr(10) || '* 7 of ' || lang, '\r?\n'))) AS line FROM documents),
+c AS (SELECT doc_id, line, regexp_extract(line, '(?i)https?://[^\s)\]]+|\b[a-z0-9-]+(?:\.[a-z0-9-]+)*\.(?:org|com|net|int|edu|gov)\b') AS url FROM l WHERE regexp_matches(line, '^[-*] ') AND regexp_matches(line, '[0-9]')) SELECT doc_id, trim(line[3:]) AS claim, CASE WHEN url = '' THEN 'unnamed' ELSE url END AS source FROM c""",
     "claim_rows": "WITH c AS (SELECT conv_id, turn AS page, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS claim FROM (SELECT DISTINCT conv_id, turn FROM conversations)), r AS (SELECT DISTINCT conv_id, turn % 3 AS claim FROM conversations) SELECT conv_id, claim, page FROM r LEFT JOIN c USING (conv_id, claim)",
     "token_estimate": "SELECT source, count(*) AS calls, sum(ceil(length(coalesce(text, '')) / 4))::BIGINT AS tokens, (sum(ceil(length(coalesce(text, '')) / 4)) * 3 + count(*) * 150)::BIGINT AS micro_usd FROM documents GROUP BY 1",
     "statistics_tables": "SELECT p_partkey, 0 AS place, (p_partkey % 100)::INT AS value FROM part UNION ALL SELECT p_partkey, 1, NULL FROM part UNION ALL SELECT p_partkey, 2, p_size::INT FROM part",
@@ -223,7 +224,7 @@ SELECT id, ref, origin, value FROM r LEFT JOIN o USING (ref)""",
     "shard_details": f"""WITH {BLD} SELECT bldg_id % 16 AS shard, count(*) AS n, sum(length('{{"bldg_id":' || bldg_id || ',"area":' || CASE WHEN bldg_id % 3 = 0 THEN area::VARCHAR ELSE 'null' END || '}}'))::BIGINT AS chars FROM bld GROUP BY 1""",
     "profile_checks": f"""WITH {BLD}, p AS (SELECT bldg_id % 6 AS profile, sum(area * floors * 4) / count(*) AS wh, avg((score > 5000)::INT) AS upper FROM bld GROUP BY 1), r AS (SELECT *, greatest(wh / (300 + profile * 100), (300 + profile * 100) / wh) AS r FROM p)
 SELECT profile, wh, upper, (CASE WHEN wh >= 8200 THEN 5 WHEN wh >= 3400 THEN 4 WHEN wh >= 1000 THEN 3 WHEN wh >= 200 THEN 2 WHEN wh >= 12 THEN 1 ELSE 0 END)::INT AS tier, CASE WHEN r <= 1.5 THEN 'ok' WHEN r <= 3 THEN 'check' ELSE 'fail' END AS verdict FROM r""",
-    "derived_profiles": "SELECT p_partkey AS profile_id, p_size * 1.0::DOUBLE AS kwh FROM part WHERE p_partkey < 23 UNION ALL SELECT p_partkey + 1000, p_size * 0.5::DOUBLE FROM part WHERE p_partkey < 23 AND p_partkey % 5 = 0",
+    "derived_profiles": "SELECT p_partkey AS profile_id, p_size * 1.0::DOUBLE AS kwh FROM part UNION ALL SELECT p_partkey + 10000000, p_size * 0.5::DOUBLE FROM part WHERE p_partkey % 5 = 0",
     "archetype_violations": "SELECT count(*) FILTER (WHERE p_partkey % 30 * 20 > p_partkey % 50 * 10) AS short_windows, count(*) FILTER (WHERE p_partkey % 120 > 100) AS bad_shares, count(*) FILTER (WHERE p_partkey % 9 = 0) AS unsourced, max(p_size * 10 * least(p_partkey % 30 * 20, p_partkey % 50 * 10))::BIGINT AS most_wh_minutes FROM part",
     "sampled_strata": f"""WITH {BLD}, r AS (SELECT bldg_id, row_number() OVER (PARTITION BY province ORDER BY area, bldg_id) AS r, count(*) OVER (PARTITION BY province) AS n FROM bld),
 s AS (SELECT bldg_id, CASE WHEN bldg_id % 4 = 0 THEN 'tagged' ELSE 'plain' END || '/' || CASE WHEN 3 * (r - 1) <= n - 1 THEN 0 WHEN 3 * (r - 1) <= 2 * (n - 1) THEN 1 ELSE 2 END AS stratum, left(sha256(bldg_id || ':7'), 12) AS h FROM r), k AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY h, bldg_id) - 1 AS k FROM s)
