@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..sources import settled
 
@@ -31,7 +32,7 @@ def linked_groups(nodes: DataFrame, edges: DataFrame, id_col: str, rounds: int =
     raise RuntimeError(f"groups did not settle in {rounds} rounds")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
