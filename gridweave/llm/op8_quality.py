@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 from operator import eq
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import released, table
+from .common import Scratch, released, table
 
 BUCKETS = 1 << 16  # 16 bits each
 SHORTEST, LONGEST = 3, 5  # characters of an n-gram
@@ -25,6 +25,8 @@ SAMPLE = 4000  # labelled documents that the classifier is fitted on, in the ord
 SAMPLE_BYTES = 96 << 20  # of their texts
 CUT = 0.3
 KNOWN = 150_000  # words whose sums a task remembers
+LEARNED = 4096  # words whose features are listed at once
+CHARS = 1 << 18  # characters of the texts that are scored at once
 AGAIN = "\n"  # the token of a word that stands again right after itself
 
 
@@ -67,21 +69,33 @@ class Scorer:
         if len(self.known) > KNOWN:
             self.known.clear()
             new = list(words)
-        found = [features(w) for w in new]
-        sizes = np.array([len(f) for f in found], np.int64)
-        if new:
+        for k in range(0, len(new), LEARNED):
+            some = new[k : k + LEARNED]
+            found = [features(w) for w in some]
+            sizes = np.array([len(f) for f in found], np.int64)
             flat = np.fromiter((i for f in found for i in f), np.int64, int(sizes.sum()))
             sums = np.add.reduceat(self.gain[flat], np.cumsum(sizes) - sizes)
-            self.known.update(zip(new, map(complex, sums.tolist(), sizes.tolist()), strict=True))
-
-    def score(self, texts: list[str | None]) -> Iterator[float]:
-        for k in range(0, len(texts), 64):
-            some = [tokens(t) for t in texts[k : k + 64]]
-            self.learn({w for words in some for w in words})
-            for words in some:
-                total = sum(map(self.known.__getitem__, words), 0j)
-                logit = self.bias + (total.real / total.imag if words else 0.0)
-                yield 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
+            self.known.update(zip(some, map(complex, sums.tolist(), sizes.tolist()), strict=True))
+
+    def _few(self, texts: list[str | None]) -> Iterator[float]:
+        some = [tokens(t) for t in texts]
+        self.learn({w for words in some for w in words})
+        for words in some:
+            total = sum(map(self.known.__getitem__, words), 0j)
+            logit = self.bias + (total.real / total.imag if words else 0.0)
+            yield 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
+
+    def score(self, texts: Iterable[str | None]) -> Iterator[float]:
+        """Texts are taken until they hold CHARS characters, so that long ones don't come many at a time."""
+        some: list[str | None] = []
+        size = 0
+        for t in texts:
+            some.append(t)
+            size += len(t or "")
+            if size >= CHARS:
+                yield from self._few(some)
+                some, size = [], 0
+        yield from self._few(some)
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n: int, most: int = SAMPLE_BYTES) -> DataFrame:
@@ -107,7 +121,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, counts = [], []
-            for t in batch.column(2).to_pylist():
+            for t in (x.as_py() for x in batch.column(2)):
                 cache: dict[str, list[int]] = {}
                 flat = [i for w in tokens(t) for i in (cache.get(w) or cache.setdefault(w, features(w)))]
                 u, c = np.unique(np.array(flat, np.int32), return_counts=True)
@@ -117,14 +131,17 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n:
         released()
 
     own = sample_of(docs, labels, label, learnable, n)
-    rows = own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, y {own.schema['y'].dataType.simpleString()}, ids binary, parts binary").collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["ids"]))
-    y = np.array([int(r["y"] > 0) for r in rows], np.int64)
+    scratch = Scratch(docs.sparkSession, "features")
+    kept = scratch.keep(own.mapInArrow(run, f"doc_id {own.schema['doc_id'].dataType.simpleString()}, y {own.schema['y'].dataType.simpleString()}, ids binary, parts binary"))
+    rows = [(zlib.crc32(str(r["doc_id"]).encode()), r["ids"], r["parts"], int(r["y"] > 0)) for r in kept.toLocalIterator()]  # a part at a time
+    scratch.drop(kept)
+    rows.sort(key=lambda r: r[:2])
+    y = np.array([r[3] for r in rows], np.int64)
     share = (y.sum() + 0.5) / (len(y) + 1)
     if not 0 < y.sum() < len(y):
         return Model(np.zeros(BUCKETS), math.log(share / (1 - share)))
-    ids = [np.frombuffer(r["ids"], "<u2") for r in rows]
-    parts = [np.frombuffer(r["parts"], "<f4") for r in rows]
+    ids = [np.frombuffer(r[1], "<u2") for r in rows]
+    parts = [np.frombuffer(r[2], "<f4") for r in rows]
     del rows
     draw = np.random.default_rng(seed)
     vectors = draw.uniform(-1 / WIDTH, 1 / WIDTH, (WIDTH, BUCKETS)).astype(np.float64)
@@ -149,6 +166,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learnable: F.Column, n:
             for v, b in zip(vectors, back, strict=True):
                 v -= rate * 20 * np.bincount(flat, b[row] * part, BUCKETS)
             step += 1
+    del ids, parts
+    released()
     return Model((out[1] - out[0]) @ vectors, float(bias[1] - bias[0]))
 
 
@@ -160,7 +179,7 @@ def scored(docs: DataFrame, model: Model, held_out: F.Column, cut: float = CUT)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value.scorer()
         for batch in batches:
-            scores = np.array(list(scorer.score(batch.column(2).to_pylist())), np.float64)
+            scores = np.array(list(scorer.score(t.as_py() for t in batch.column(2))), np.float64)
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(scores), pa.array((scores >= cut).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
         del scorer
         released()
@@ -189,7 +208,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = model.value.scorer()
         for batch in batches:
-            yield batch.filter(pa.array([s >= CUT for s in scorer.score(batch.column(at).to_pylist())], pa.bool_()))
+            yield batch.filter(pa.array([s >= CUT for s in scorer.score(t.as_py() for t in batch.column(at))], pa.bool_()))
         del scorer
         released()
 
