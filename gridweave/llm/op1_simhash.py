@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import Scratch, apart, connected_components, table
+from .common import Scratch, apart, connected_components, released, table
 
 BITS = 64
-BLOCK = 1 << 15  # shingles whose bits are counted at once
+BLOCK = 1 << 13  # shingles whose bits are counted at once
 
 
 def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> int:
@@ -30,13 +30,14 @@ def fingerprint(text: str | None, size: int = 3, seed: int = 42) -> int:
         return xxhash.xxh64_intdigest(b" ".join(words), seed)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-size] + 1)).tolist()
-    digest = xxhash.xxh64_intdigest
-    n = len(starts)
-    hashes = np.fromiter((digest(line[a:b], seed) for a, b in zip(starts, ends[size - 1 :].tolist(), strict=True)), "<u8", n)
+    starts = np.concatenate(([0], ends[:-size] + 1))
+    ends, digest, n = ends[size - 1 :], xxhash.xxh64_intdigest, len(starts)
+    del words
     ones = np.zeros(BITS, np.int64)
     for k in range(0, n, BLOCK):
-        ones += np.unpackbits(hashes[k : k + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        places = zip(starts[k : k + BLOCK].tolist(), ends[k : k + BLOCK].tolist(), strict=True)
+        hashes = np.fromiter((digest(line[a:b], seed) for a, b in places), "<u8", min(BLOCK, n - k))
+        ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return sum(1 << i for i in np.flatnonzero(2 * ones > n).tolist())
 
 
@@ -47,6 +48,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             fp = np.array([fingerprint(t.as_py(), size) for t in batch.column(1)], np.uint64).view(np.int64)
             yield pa.record_batch([batch.column(0), pa.array(fp)], names=["id", "fp"])
+        released()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col), F.col(text_col)).mapInArrow(run, f"id {kind}, fp long")
