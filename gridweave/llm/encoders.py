@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 from codecs import charmap_decode
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator
 from itertools import compress, repeat
 
 import numpy as np
@@ -19,6 +19,7 @@ PLAIN = "!-~¡-įı-ſ"
 MARKS = ",."
 HELD = 112 << 20  # bytes of remembered parts, by estimate
 BLOCK = 1 << 22  # characters of text that are cut, and whose distinct parts are looked up, at once
+LEAN = 96 << 20, 1 << 21  # the same where a worker has less memory
 TAKEN = 1 << 18  # parts whose ids are gathered at once
 
 
@@ -45,7 +46,7 @@ class PartEncoder:
     found by Arrow; the ids of all known parts lie in one array. Ids are `width` bytes wide.
     """
 
-    def __init__(self, path: str, drops_space: bool, held: int = HELD, width: int = 4):
+    def __init__(self, path: str, drops_space: bool, held: int = HELD, width: int = 4, block: int = BLOCK):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
@@ -57,9 +58,8 @@ class PartEncoder:
         special = [(i, t.content) for i, t in self.library.get_added_tokens_decoder().items()]
         self.cut_id, self.cut = max(special) if drops_space else (int(self._ids("\n")[0]), "\n")  # a line break is one id
         self.marks = {m: int(self._ids(m)[0]) for m in MARKS}
-        if not drops_space:
-            self._letters_only()
-        self.limit = held
+        self._letters_only()
+        self.limit, self.block = held, block
         self.full: tuple[int, int, int] | None = None  # parts, ids and bytes held when the limit was reached
         self.young: list[str] = []  # parts learned since then
         self.held = 0
@@ -108,27 +108,30 @@ class PartEncoder:
     def _letters_only(self) -> None:
         """For words of letters, which the library's model is given in its own alphabet, a blank between them.
 
-        Such a word with its space is one piece of the splitting rule, so nothing is left to split; and only its first
-        token holds the space, which tells where each word's ids begin.
+        Such a word (with its space, if it keeps one) is one piece of the splitting rule, so nothing is left to split or to
+        normalise. Where a word's ids end is told by the space, which only its first token holds, or by the suffix of
+        its last token.
         """
         from tokenizers import pre_tokenizers
 
-        self.rule, self.blanks = self.library.pre_tokenizer, pre_tokenizers.WhitespaceSplit()
+        self.rule, self.blanks = (self.library.normalizer, self.library.pre_tokenizer), pre_tokenizers.WhitespaceSplit()
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]  # bytes that stand for themselves
         hidden = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in shown)}
         self.alphabet = "".join(chr(hidden.get(b, b)) if b != 10 else "\n" for b in range(256))
         space = self.alphabet[32]
-        self.opens = np.zeros(self.library.get_vocab_size(), bool)
-        self.opens[[i for w, i in self.library.get_vocab().items() if w.startswith(space)]] = True
+        self.edge = np.zeros(self.library.get_vocab_size(), bool)
+        self.edge[[i for w, i in self.library.get_vocab().items() if (w.endswith("</w>") if self.drops_space else w.startswith(space))]] = True
 
     def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        line = charmap_decode("\n".join([f" {w}" for w in words]).encode(), "strict", self.alphabet)[0]
-        self.library.pre_tokenizer = self.blanks
+        """(ids, sizes) of words of letters, one after the other."""
+        line = "\n".join(words if self.drops_space else [f" {w}" for w in words])
+        self.library.normalizer, self.library.pre_tokenizer = None, self.blanks
         try:
-            ids = self._ids(line)
+            ids = self._ids(charmap_decode(line.encode(), "strict", self.alphabet)[0])
         finally:
-            self.library.pre_tokenizer = self.rule
-        return ids, np.diff(np.append(np.flatnonzero(self.opens[ids]), len(ids)))
+            self.library.normalizer, self.library.pre_tokenizer = self.rule
+        edges = np.flatnonzero(self.edge[ids])
+        return ids, np.diff(edges, prepend=-1) if self.drops_space else np.diff(np.append(edges, len(ids)))
 
     def _learn(self, new: list[str]) -> None:
         """Encodes parts that aren't known.
@@ -142,12 +145,11 @@ class PartEncoder:
             own = set(new).difference(marked)
             own.update(k for k in (k[:-1] for k in marked) if k not in self.known)
             new = list(own)
-        if not self.drops_space:
-            words = [k for k in new if k.isalpha()]
-            new = [k for k in new if not k.isalpha()]
-            for at in range(0, len(words), 2000):
-                some = words[at : at + 2000]
-                self._put(some, *self._words(some))
+        words = [k for k in new if k.isalpha()]
+        new = [k for k in new if not k.isalpha()]
+        for at in range(0, len(words), 2000):
+            some = words[at : at + 2000]
+            self._put(some, *self._words(some))
         for at in range(0, len(new), 2000):
             some = new[at : at + 2000]
             if self.drops_space:
@@ -203,16 +205,18 @@ class PartEncoder:
             k += known
         return out
 
-    def encode(self, texts: Sequence[str | None]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each whole text, as little-endian unsigned integers of `width` bytes; null is empty."""
         some: list[str] = []
         size = 0
         for t in texts:
             some.append(t or "")
             size += len(some[-1])
-            if size >= BLOCK:
+            if size >= self.block:
                 yield from self._few(some)
                 some, size = [], 0
+                if self.block < BLOCK:
+                    released()
         if some:
             yield from self._few(some)
 
@@ -220,14 +224,16 @@ class PartEncoder:
 _ENCODERS: dict[tuple[str, bool, int], tuple[str, PartEncoder]] = {}
 
 
-def part_encoder(path: str, drops_space: bool, run: str, width: int = 4) -> PartEncoder:
+def part_encoder(path: str, drops_space: bool, run: str, width: int = 4, lean: bool = False) -> PartEncoder:
     """The encoder of this process for one run of a query: tasks of that run share what is learned, within HELD bytes.
 
-    Another run begins with nothing, so that a query repeated in one session does all its work again.
+    Another run begins with nothing, so that a query repeated in one session does all its work again. A lean one holds less,
+    and gives memory back after each block.
     """
     key = (path, drops_space, width)
     if key not in _ENCODERS or _ENCODERS[key][0] != run:
         _ENCODERS.clear()  # before another is made
         released()
-        _ENCODERS[key] = (run, PartEncoder(path, drops_space, width=width))
+        held, block = LEAN if lean else (HELD, BLOCK)
+        _ENCODERS[key] = (run, PartEncoder(path, drops_space, held, width, block))
     return _ENCODERS[key][1]

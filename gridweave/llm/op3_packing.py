@@ -92,11 +92,11 @@ def packed(docs: DataFrame, vocab: str | None = None, window: int = WINDOW, grou
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = part_encoder(path, True, run)
+        coder = part_encoder(path, True, run, lean=True)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[] for _ in range(6 + with_ids)]
-            for name, raw in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist()), strict=True):
+            for name, raw in zip(batch.column(0).to_pylist(), coder.encode(t.as_py() for t in batch.column(1)), strict=True):
                 raw += end
                 n = len(raw) // 4
                 for at in range(0, n, window):

@@ -113,7 +113,7 @@ def write_token_files(docs: DataFrame, folder: str, scratch: Scratch, vocab: str
         coder = part_encoder(path, False, run, width)
         end = END.to_bytes(width, "little")
         for batch in batches:
-            for name, raw in zip(batch.column(0).to_pylist(), coder.encode(batch.column(1).to_pylist()), strict=True):
+            for name, raw in zip(batch.column(0).to_pylist(), coder.encode(t.as_py() for t in batch.column(1)), strict=True):
                 if out is None:
                     store, at, file = open_uri(f"{uri}.{task.taskAttemptId()}.tmp", write=True)
                     out = Writer(file, width)
