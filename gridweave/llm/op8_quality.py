@@ -6,7 +6,7 @@ import math
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import islice
+from itertools import accumulate, islice
 from operator import eq
 
 import numpy as np
@@ -38,10 +38,16 @@ def tokens(text: str | None) -> list[str]:
 
 def features(word: str) -> list[int]:
     """Buckets of a word and of its character n-grams, with its ends marked."""
-    raw = f"<{word}>"
-    out = [zlib.crc32(raw.encode("utf-8", "surrogatepass")) % BUCKETS]
-    for n in range(SHORTEST, LONGEST + 1):
-        out += [zlib.crc32(raw[i : i + n].encode("utf-8", "surrogatepass")) % BUCKETS for i in range(len(raw) - n + 1)]
+    word = f"<{word}>"
+    raw, n = word.encode("utf-8", "surrogatepass"), len(word)
+    out = [zlib.crc32(raw) % BUCKETS]
+    if len(raw) == n:  # a character is a byte
+        for size in range(SHORTEST, LONGEST + 1):
+            out += [zlib.crc32(raw[i : i + size]) % BUCKETS for i in range(n - size + 1)]
+        return out
+    at = [0, *accumulate(len(c.encode("utf-8", "surrogatepass")) for c in word)]
+    for size in range(SHORTEST, LONGEST + 1):
+        out += [zlib.crc32(raw[at[i] : at[i + size]]) % BUCKETS for i in range(n - size + 1)]
     return out
 
 
@@ -65,10 +71,10 @@ class Scorer:
         self.known: dict[str, complex] = {}  # the sum of gains, and as imaginary part the number of features
 
     def learn(self, words: set[str]) -> None:
+        if len(self.known) > KNOWN:  # what came first is the most frequent and stays
+            for w in list(islice(reversed(self.known), len(self.known) - KNOWN // 2)):
+                del self.known[w]
         new = list(words.difference(self.known))
-        if len(self.known) > KNOWN:
-            self.known.clear()
-            new = list(words)
         for k in range(0, len(new), LEARNED):
             some = new[k : k + LEARNED]
             found = [features(w) for w in some]
