@@ -17,8 +17,8 @@ from .common import released
 #: Characters that stand for themselves in every normaliser used here, and aren't white space.
 PLAIN = "!-~¡-įı-ſ"
 MARKS = ",."
-HELD = 112 << 20  # bytes of remembered parts, by estimate
-BLOCK = 1 << 22  # characters of text that are cut, and whose distinct parts are looked up, at once
+HELD = 160 << 20  # bytes of remembered parts, by estimate
+BLOCK = 1 << 23  # characters of text that are cut, and whose distinct parts are looked up, at once
 LEAN = 96 << 20, 1 << 21  # the same where a worker has less memory
 TAKEN = 1 << 18  # parts whose ids are gathered at once
 
