@@ -79,20 +79,21 @@ def pack(lengths: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndar
     return seq, offset
 
 
-def packed(docs: DataFrame, vocab: str | None = None, window: int = WINDOW, group: int = GROUP, with_ids: bool = False) -> DataFrame:
+def packed(docs: DataFrame, vocab: str | None = None, window: int = WINDOW, group: int = GROUP, with_ids: bool = False, lean: bool = False) -> DataFrame:
     """A row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and with with_ids its ids.
 
     Each text (null: empty) is encoded whole and ended with id 1, so every document has a piece. A document is cut
     after every `window` ids; whole windows are sequences of their own, and what remains is packed with the remainders
     of about `group` documents. Groups are dealt by a hash of id and start, so neither a source nor one long document
-    makes a large group. A repeated id is packed as often as it stands there; a null id is kept.
+    makes a large group. A repeated id is packed as often as it stands there; a null id is kept. A lean encoder takes less
+    memory and more time, with the same ids.
     """
     path, run = vocab or vocabulary("word_bpe_49k.json"), uuid.uuid4().hex
     n_groups = max(1, math.ceil(docs.count() / group))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = part_encoder(path, True, run, lean=True)
+        coder = part_encoder(path, True, run, lean=lean)
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[] for _ in range(6 + with_ids)]
@@ -125,5 +126,5 @@ def op3_min_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What packed() returns for the documents that earlier stages kept."""
-    return packed(docs)
+    """What packed() returns for the documents that earlier stages kept; lean, as their workers still hold memory."""
+    return packed(docs, lean=True)
