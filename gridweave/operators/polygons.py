@@ -107,6 +107,22 @@ def overlaps(left: DataFrame, right: DataFrame, id_col: str, ring: str, side: fl
     return met.where("area > 0")
 
 
+def best_overlap(left: DataFrame, right: DataFrame, id_col: str, ring: str, side: float, share: float) -> DataFrame:
+    """(a, b, area): for each left ring the right one it overlaps most, if by `share` of the smaller one; the lesser b on ties.
+
+    Equal rings are one shape, named by its least id, and only shapes are paired: of equal right rings the least id wins
+    anyway, and equal left rings share one answer. So copies cost a row each and not a pair each.
+    """
+
+    def shapes(df: DataFrame) -> DataFrame:
+        return df.groupBy(ring).agg(F.min(id_col).alias(id_col))
+
+    met = overlaps(shapes(left), shapes(right), id_col, ring, side).where(F.col("area") >= share * F.least("area_a", "area_b"))
+    best = met.groupBy("a").agg(F.max_by(F.struct("b", "area"), F.struct("area", -F.col("b"))).alias("m"))
+    named = shapes(left).join(best, F.col(id_col) == F.col("a")).select(ring, "m.b", "m.area")
+    return left.select(F.col(id_col).alias("a"), ring).join(named, ring).select("a", "b", "area")
+
+
 #: Half axis and flattening of the WGS84 ellipsoid.
 AXIS, FLAT = 6_378_137.0, 1 / 298.257223563
 

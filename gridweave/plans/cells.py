@@ -123,9 +123,8 @@ def polygon_overlap_half(spark, sf_dir):
     b = buildings(spark, sf_dir).select("bldg_id", (F.col("bldg_id") * 7 % 90).alias("x"), (F.col("bldg_id") * 13 % 70).alias("y"), (4 + F.col("bldg_id") % 7).alias("w"), (4 + F.col("bldg_id") % 5).alias("h"))
     box = F.array(*(F.struct((F.col("x") + dx).cast("double").alias("x"), (F.col("y") + dy).cast("double").alias("y")) for dx, dy in ((0, 0), (F.col("w"), 0), (F.col("w"), F.col("h")), (0, F.col("h")))))
     df = b.select("bldg_id", box.alias("ring"))
-    pairs = polygons.overlaps(df.where("bldg_id % 2 = 0"), df.where("bldg_id % 2 = 1"), "bldg_id", "ring", 16.0)
-    best = pairs.where("area >= 0.5 * least(area_a, area_b)").groupBy("a").agg(F.max_by(F.struct("b", "area"), F.struct("area", -F.col("b"))).alias("m"))
-    return best.select("a", F.col("m.b").alias("b"), F.round("m.area", 6).alias("area"))
+    best = polygons.best_overlap(df.where("bldg_id % 2 = 0"), df.where("bldg_id % 2 = 1"), "bldg_id", "ring", 16.0, 0.5)
+    return best.select("a", "b", F.round("area", 6).alias("area"))
 
 
 def validity_flags(spark, sf_dir):

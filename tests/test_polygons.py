@@ -72,6 +72,24 @@ def test_overlaps_once_each(spark):
     assert polygons.overlaps(make(a).limit(0), make(b), "id", "ring", 4.0).count() == 0
 
 
+def test_best_overlap_with_many_copies(spark, monkeypatch):
+    """2000 by 2000 rings of four shapes: pairs are made of shapes, and each ring has the best by brute force over the least ids."""
+    kinds = [(0.0, 4.0), (1.0, 4.0), (2.0, 9.0), (40.0, 4.0)]
+    ids = lambda r: [(i, ring((x, 0), (x + w, 0), (x + w, 2), (x, 2))) for i in range(r, 4000, 2) for x, w in (kinds[i // 2 % 4],)]
+    rows = ids(0), ids(1)
+    left, right = (spark.createDataFrame([*r, (9000 + k, None), (9002 + k, [])], f"id int, ring {RING}") for k, r in enumerate(rows))
+    paired, real = [], polygons.overlaps
+    monkeypatch.setattr(polygons, "overlaps", lambda a, b, *rest: paired.extend((a.count(), b.count())) or real(a, b, *rest))
+    got = {r["a"]: (r["b"], r["area"]) for r in polygons.best_overlap(left, right, "id", "ring", 4.0, 0.5).collect()}
+    assert max(paired) <= 6
+    want = {}
+    for i, p in rows[0]:
+        met = [(min(p[1][0], q[1][0]) - max(p[0][0], q[0][0]), -j, min(p[1][0] - p[0][0], q[1][0] - q[0][0])) for j, q in rows[1][:4]]
+        d, j, _ = max(m for m in met if m[0] > 0 and m[0] >= 0.5 * m[2])
+        want[i] = (-j, 2 * d)
+    assert got == want
+
+
 def test_projection(spark):
     """The middle meridian's northing is the length of the meridian, and scale is near 0.9996."""
     df = spark.createDataFrame([(33.0, 0.0), (33.0, 1.0), (33.0, -1.0), (33.5, 0.0)], "lon double, lat double")
