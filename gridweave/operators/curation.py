@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import unicodedata
 
 import pandas as pd
@@ -9,29 +10,80 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from ..functions import METRES, metres
 from ..sources import settled
 
 
 def linked_groups(nodes: DataFrame, edges: DataFrame, id_col: str, rounds: int = 60) -> DataFrame:
-    """(id, group): the least id that each node reaches over edges (u, v).
+    """(id, group): the least id that each node reaches over edges (u, v) between nodes.
 
-    Each round takes the least label among neighbours and then the label of that label, so long chains shorten
-    quickly; each round's labels are checkpointed in the shared folder. Raises if `rounds` don't settle it.
+    Alternates large and small stars: each round links a node's greater neighbours, and then its lesser ones, to the
+    least of them, so that the rounds grow with the logarithm of a chain's length and not with the length. Each round's
+    edges are written to the shared folder. Raises if `rounds` don't settle it.
     """
-    both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u != v").distinct()
-    both = settled(both)
-    now = nodes.select(F.col(id_col).alias("id"), F.col(id_col).alias("g"))
+    ids = nodes.select(F.col(id_col).alias("id"))
+    ends = edges.where("u != v").select(F.greatest("u", "v").alias("hi"), F.least("u", "v").alias("lo")).distinct()
+    known = lambda df, c: df.join(ids, F.col(c) == F.col("id"), "left_semi")
+    now, before = settled(known(known(ends, "hi"), "lo")), None
     for _ in range(rounds):
-        near = both.join(now, F.col("v") == F.col("id")).groupBy("u").agg(F.min("g").alias("m"))
-        step = now.join(near, F.col("id") == F.col("u"), "left").select("id", F.col("g").alias("old"), F.least("g", F.coalesce("m", "g")).alias("g"))
-        up = step.select(F.col("id").alias("_id"), F.col("g").alias("_g"))
-        nxt = settled(step.join(up, F.col("g") == F.col("_id")).select("id", "old", F.least("g", "_g").alias("g")))
-        now = nxt.select("id", "g")
-        if nxt.where("g != old").isEmpty():
-            return now.select(F.col("id").alias(id_col), F.col("g").alias("group"))
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
+        if not state[0] or state == before:
+            return ids.join(now, F.col("id") == F.col("hi"), "left").select(F.col("id").alias(id_col), F.coalesce("lo", "id").alias("group"))
+        before = state
+        both = now.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(now.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(low, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        down = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        small = large.join(down, "hi").where("lo != m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        now = settled(small.unionAll(down.select("hi", F.col("m").alias("lo"))).distinct())
     raise RuntimeError(f"groups did not settle in {rounds} rounds")
 
 
+#: Halves of the cells at most two rows and columns away: each pair of near cells once.
+HALF = [(i, j) for i in range(-2, 3) for j in range(-2, 3) if (i, j) > (0, 0)]
+
+
+def near_groups(points: DataFrame, id_col: str, radius: float, lat0: float, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """(id, group): the least id that each point reaches by steps of `radius` metres at most.
+
+    Cells are so small that all points of one are in reach of each other, so a cell is one node and no pair inside it is
+    made. Two near cells are linked if two of their outermost points (of eight directions) are in reach, and aren't if
+    their boxes are out of reach; only for the rest are points paired, those in reach of the other's box. So the edges
+    grow with the cells and not with the pairs. A point without finite coordinates stands alone.
+    """
+    side, per_lon = radius / math.sqrt(2) * (1 - 1e-6), METRES * math.cos(math.radians(lat0))
+    x, y = F.col("lon") * per_lon, F.col("lat") * METRES
+    own = points.select(F.col(id_col).alias("id"), F.col(lon).alias("lon"), F.col(lat).alias("lat"))
+    finite = (F.abs(x) < 1e12) & (F.abs(y) < 1e12)
+    own = settled(own.withColumn("cx", F.when(finite, F.floor(x / side))).withColumn("cy", F.when(finite, F.floor(y / side))))
+    spots = own.where("cx IS NOT NULL")
+    at = F.struct("lon", "lat")
+    outer = F.array_distinct(F.array(*(F.max_by(at, i * x + j * y) for i in (-1, 0, 1) for j in (-1, 0, 1) if i or j)))
+    ends = (f(c).alias(f"{f.__name__}_{c}") for c in ("lon", "lat") for f in (F.min, F.max))
+    cells = settled(spots.groupBy("cx", "cy").agg(F.min("id").alias("u"), outer.alias("outer"), *ends))
+
+    far = cells.select(*(F.col(c).alias({"u": "v"}.get(c, f"r_{c}")) for c in cells.columns))
+    shifted = cells.withColumn("_d", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in HALF))))
+    pairs = shifted.join(far, (F.col("cx") + F.col("_d.i") == F.col("r_cx")) & (F.col("cy") + F.col("_d.j") == F.col("r_cy")))
+    gap = lambda lo, hi, r_lo, r_hi: F.greatest(r_lo - hi, lo - r_hi, F.lit(0.0))
+    box = lambda p: [F.col(f"{p}{f}_{c}") for c in ("lon", "lat") for f in ("min", "max")]
+    reach = lambda a, b: F.hypot(gap(*a[:2], *b[:2]) * per_lon, gap(*a[2:], *b[2:]) * METRES) <= radius * (1 + 1e-9)
+    touch = F.exists("outer", lambda p: F.exists("r_outer", lambda q: metres(p["lon"], p["lat"], q["lon"], q["lat"], lat0) <= radius))
+    told = settled(pairs.where(reach(box(""), box("r_"))).withColumn("near", touch).drop("_d", "outer", "r_outer"))
+
+    def held(p: str, other: str) -> DataFrame:
+        """The places of one of two cells that are in reach of the other's box."""
+        unsure = told.where("NOT near").select("u", "v", F.col(f"{p}cx").alias("cx"), F.col(f"{p}cy").alias("cy"), *box(other))
+        point = [F.col("lon"), F.col("lon"), F.col("lat"), F.col("lat")]
+        return unsure.join(spots, ["cx", "cy"]).where(reach(point, box(other))).select("u", "v", F.col("lon").alias(f"{p}lon"), F.col("lat").alias(f"{p}lat")).distinct()
+
+    paired = held("", "r_").join(held("r_", ""), ["u", "v"])
+    found = paired.where(metres(F.col("lon"), F.col("lat"), F.col("r_lon"), F.col("r_lat"), lat0) <= radius)
+    groups = linked_groups(cells.select("u"), told.where("near").select("u", "v").unionAll(found.select("u", "v")), "u")
+    named = cells.join(groups, "u").select("cx", "cy", "group")
+    return own.join(named, ["cx", "cy"], "left").select(F.col("id").alias(id_col), F.coalesce("group", "id").alias("group"))
+
+
 @F.pandas_udf(StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))

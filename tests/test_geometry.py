@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import random
+
 from pyspark.sql import functions as F
 
-from gridweave.functions import keep_likely, mercator_tile, quadkey
+from gridweave.functions import METRES, keep_likely, mercator_tile, quadkey
 from gridweave.operators import curation, geometry, neighbours
 from gridweave.plans import sampling
 
@@ -69,8 +72,39 @@ def test_groups_follow_chains_and_cycles(spark):
     assert found == {k: 1 if 1 <= k <= 30 else 35 if k in (35, 38) else k for k in range(40)}
 
 
+def test_groups_follow_a_long_chain_of_mixed_ids(spark):
+    ids = random.Random(5).sample(range(1000, 9000), 600)
+    edges = spark.createDataFrame([*zip(ids, ids[1:]), (ids[0], 7), (7, 8)], "u long, v long")
+    nodes = spark.createDataFrame([(i,) for i in [*ids, 8]], "k long")
+    found = dict(map(tuple, curation.linked_groups(nodes, edges, "k").collect()))
+    assert found == {**dict.fromkeys(ids, min(ids)), 8: 8}  # 7 is no node, so it links nothing
+
+
+def test_near_groups_against_all_pairs(spark):
+    rng = random.Random(8)
+    places = [(rng.uniform(-0.05, 0.05), rng.uniform(-0.04, 0.04)) for _ in range(500)]
+    places += [(0.2 + rng.gauss(0, 0.002), rng.gauss(0, 0.002)) for _ in range(150)] + [places[0], places[3]] * 10 + [(None, 0.1), (float("nan"), 0.0), (float("inf"), 0.0), (float("nan"), 0.0)]
+    ids = rng.sample(range(10_000), len(places))
+    for radius in (150.0, 400.0, 900.0):
+        group = dict(zip(ids, ids))
+
+        def root(i):
+            while group[i] != i:
+                i = group[i]
+            return i
+
+        for i, (a, b) in zip(ids, places):
+            for j, (c, d) in zip(ids, places):
+                if i < j and None not in (a, c) and math.hypot((a - c) * METRES * math.cos(math.radians(-2.0)), (b - d) * METRES) <= radius:
+                    u, v = sorted((root(i), root(j)))
+                    group[v] = u
+        df = spark.createDataFrame([(i, *p) for i, p in zip(ids, places)], "k long, lon double, lat double")
+        assert dict(map(tuple, curation.near_groups(df, "k", radius, -2.0).collect())) == {i: root(i) for i in ids}
+
+
 def test_groups_of_nothing(spark):
     assert curation.linked_groups(spark.range(0).withColumnRenamed("id", "k"), spark.createDataFrame([], "u long, v long"), "k").count() == 0
+    assert curation.near_groups(spark.createDataFrame([], "k long, lon double, lat double"), "k", 5.0, 0.0).count() == 0
 
 
 def test_tiles_and_likely_classes(spark):
